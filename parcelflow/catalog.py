@@ -23,10 +23,7 @@ from parcelflow.sources.raw_csv import read_raw, write_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages "
-    "benchmark labels conversations"
-).split()
+TABLES = tuple(a.TABLE_SCHEMAS)
 
 
 def _doubles(df: DataFrame) -> DataFrame:
@@ -81,8 +78,10 @@ def _labelled(spark, d, task="non_delivery") -> DataFrame:
     return targets.labelled_orders(a.orders(spark, d), task)
 
 
-def _split(spark, d, config: s.SplitConfig, task="non_delivery") -> DataFrame:
-    return s.chronological_split(_labelled(spark, d, task), config)
+def _split(spark, d, config: s.SplitConfig) -> DataFrame:
+    # The split scans its input a few times: derive the narrow rows once, as the
+    # published tables of a real run would be.
+    return s.chronological_split(materialize(_labelled(spark, d)), config)
 
 
 OPTIMIZATION = s.optimization_split("non_delivery")
@@ -141,7 +140,12 @@ def item_distance(spark, d):
 
 
 def item_features(spark, d):
-    return _doubles(f.item_features(_details(spark, d)))
+    centroids, located = _located(spark, d)
+    return _doubles(
+        f.order_item_features(
+            a.order_items(spark, d), located, a.sellers(spark, d), a.products(spark, d), centroids
+        )
+    )
 
 
 def payment_features(spark, d):
@@ -325,8 +329,10 @@ def final_eval_split(spark, d):
 
 
 def _two_splits(spark, d) -> DataFrame:
-    final = _split(spark, d, FINAL).withColumn("split", F.concat(F.lit("final_"), "split"))
-    return _split(spark, d, OPTIMIZATION).unionByName(final).select("order_id", "split")
+    rows = materialize(_labelled(spark, d))
+    final = s.chronological_split(rows, FINAL)
+    final = final.withColumn("split", F.concat(F.lit("final_"), "split"))
+    return s.chronological_split(rows, OPTIMIZATION).unionByName(final).select("order_id", "split")
 
 
 def split_overlap(spark, d):
@@ -380,9 +386,7 @@ def metric_report(spark, d):
 def gbt_predictions(spark, d, config: BoostingConfig = BoostingConfig()):
     """Train on the train split, score the validation split."""
     dataset = _dataset(spark, d, "non_delivery")
-    rows = s.chronological_split(
-        _labelled(spark, d).withColumnRenamed("target", "known"), OPTIMIZATION
-    ).select("order_id", "split")
+    rows = _split(spark, d, OPTIMIZATION).select("order_id", "split")
     inputs = targets.model_inputs(dataset, keep=("order_id", "target")).join(rows, "order_id")
     inputs = materialize(inputs.where(F.col("split") != s.TEST))
     model = DeliveryRiskModel.fit(inputs.where(F.col("split") == s.TRAIN), config)

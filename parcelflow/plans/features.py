@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,9 @@ from parcelflow.functions import (
 from parcelflow.operators.medians import MAX_BROADCAST_ROWS, exact_group_medians, group_sizes
 from parcelflow.schemas import FEATURE_COLUMNS, MONEY
 
+# Orders up to this many items may be gathered: their values fit easily in a task.
+MAX_ITEMS_IN_A_SET = 10_000
+
 PAYMENT_TYPES = ("credit_card", "boleto", "voucher", "debit_card")
 
 
@@ -58,10 +63,14 @@ def item_details(
     sellers: DataFrame,
     products: DataFrame,
     centroids: DataFrame,
+    cluster_by_order: bool = False,
 ) -> DataFrame:
     """Items with product, seller and customer attributes and the seller distance.
 
-    ``located`` comes from ``located_orders`` and has one row per order.
+    ``located`` comes from ``located_orders`` and has one row per order. With
+    ``cluster_by_order`` the one shuffle on the order id, which the join with the
+    orders needs anyway, also serves the aggregation that follows; use it only when
+    no order is large.
     """
     seller = _located(
         sellers.select("seller_id", "seller_state", "seller_zip_code_prefix"),
@@ -73,62 +82,100 @@ def item_details(
     customer = located.select(
         "order_id", "customer_state", "customer_latitude", "customer_longitude"
     )
-    return (
-        order_items.join(seller, "seller_id")
+    described = (
+        order_items.drop("shipping_limit_date")
+        .join(seller, "seller_id")
         .join(product, "product_id")
-        .join(customer, "order_id")
-        .select(
-            "order_id",
-            "order_item_id",
-            "product_id",
-            "product_category_name",
-            "seller_id",
-            "seller_state",
-            "customer_state",
-            "price",
-            "freight_value",
-            "product_weight_g",
-            great_circle_km(
-                F.col("customer_latitude"),
-                F.col("customer_longitude"),
-                F.col("seller_latitude"),
-                F.col("seller_longitude"),
-            ).alias("seller_distance_km"),
-        )
     )
+    if cluster_by_order:
+        described = described.repartition("order_id")
+    return described.join(customer, "order_id").select(
+        "order_id",
+        "order_item_id",
+        "product_id",
+        "product_category_name",
+        "seller_id",
+        "seller_state",
+        "customer_state",
+        "price",
+        "freight_value",
+        "product_weight_g",
+        great_circle_km(
+            F.col("customer_latitude"),
+            F.col("customer_longitude"),
+            F.col("seller_latitude"),
+            F.col("seller_longitude"),
+        ).alias("seller_distance_km"),
+    )
+
+
+def _cents(column: str) -> Column:
+    # A two-decimal amount as a whole number: sums stay exact and in machine words.
+    return (F.col(column) * 100).cast("bigint")
+
+
+def _total(column: str) -> Column:
+    return (F.sum(_cents(column)) * F.lit(Decimal("0.01"))).cast(MONEY)
+
+
+def _average(column: str) -> Column:
+    # avg() of a decimal rounds to six places first; this quotient rounds once.
+    mean = F.sum(_cents(column)).cast("decimal(20,0)") / F.count(column)
+    return (F.round(mean, 0) * F.lit(Decimal("0.01"))).cast(MONEY)
 
 
-def _exact_average(column: str) -> Column:
-    # avg() of a decimal rounds to six places first; the quotient of the sum does not.
-    return (F.sum(column) / F.count(column)).cast(MONEY)
+def _distinct(column: str, small_groups: bool) -> Column:
+    """Number of different values, nulls ignored.
 
+    Sets of small groups need no further shuffle; a group of any size is counted by
+    Spark's distinct aggregation, which spreads its values.
+    """
+    counted = F.size(F.collect_set(column)) if small_groups else F.countDistinct(column)
+    return counted.cast("int")
+
+
+def item_features(details: DataFrame, small_orders: bool = False) -> DataFrame:
+    """Twelve aggregates per order; distinct counts ignore nulls.
 
-def item_features(details: DataFrame) -> DataFrame:
-    """Twelve aggregates per order; distinct counts ignore nulls."""
+    ``small_orders`` promises that every order has at most MAX_ITEMS_IN_A_SET items.
+    """
     return details.groupBy("order_id").agg(
         F.count("*").cast("int").alias("item_count"),
-        F.countDistinct("product_id").cast("int").alias("distinct_product_count"),
-        F.countDistinct("product_category_name").cast("int").alias("distinct_category_count"),
-        F.countDistinct("seller_id").cast("int").alias("seller_count"),
-        F.countDistinct("seller_state").cast("int").alias("distinct_seller_state_count"),
+        _distinct("product_id", small_orders).alias("distinct_product_count"),
+        _distinct("product_category_name", small_orders).alias("distinct_category_count"),
+        _distinct("seller_id", small_orders).alias("seller_count"),
+        _distinct("seller_state", small_orders).alias("distinct_seller_state_count"),
         F.bool_or(F.col("seller_state") != F.col("customer_state")).alias(
             "has_cross_state_seller"
         ),
-        F.sum("price").cast(MONEY).alias("total_item_value"),
-        F.sum("freight_value").cast(MONEY).alias("total_freight_value"),
-        _exact_average("price").alias("average_item_price"),
+        _total("price").alias("total_item_value"),
+        _total("freight_value").alias("total_freight_value"),
+        _average("price").alias("average_item_price"),
         F.sum("product_weight_g").cast(MONEY).alias("total_product_weight_g"),
         kilometres(F.avg("seller_distance_km")).alias("average_seller_distance_km"),
         kilometres(F.max("seller_distance_km")).alias("maximum_seller_distance_km"),
     )
 
 
+def order_item_features(
+    order_items: DataFrame,
+    located: DataFrame,
+    sellers: DataFrame,
+    products: DataFrame,
+    centroids: DataFrame,
+) -> DataFrame:
+    """``item_features`` of the located orders, planned by the size of the largest order."""
+    small = group_sizes(order_items, "order_id").largest <= MAX_ITEMS_IN_A_SET
+    details = item_details(order_items, located, sellers, products, centroids, small)
+    return item_features(details, small)
+
+
 def payment_features(order_payments: DataFrame) -> DataFrame:
     """Eight aggregates per order."""
     return order_payments.groupBy("order_id").agg(
         F.count("*").cast("int").alias("payment_count"),
         F.countDistinct("payment_type").cast("int").alias("payment_type_count"),
-        F.sum("payment_value").cast(MONEY).alias("total_payment_value"),
+        _total("payment_value").alias("total_payment_value"),
         F.max("payment_installments").cast("int").alias("maximum_payment_installments"),
         *[
             F.bool_or(F.col("payment_type") == kind).alias(f"has_{kind}_payment")
@@ -185,7 +232,7 @@ def order_features(
     centroids = zip_centroids(geolocation)
     approved = orders.where(F.col("order_approved_at").isNotNull())
     located = located_orders(approved, customers, centroids)
-    items = item_features(item_details(order_items, located, sellers, products, centroids))
+    items = order_item_features(order_items, located, sellers, products, centroids)
     payments = payment_features(order_payments)
     purchase, approval, estimate = (
         F.col("order_purchase_timestamp"),
