@@ -159,6 +159,7 @@ def validate_split(dataset: DataFrame, assignment: DataFrame, config: SplitConfi
     ``split``.
     """
     names = config.names
+    assignment = assignment.select("order_id", "split")
     present = {
         r["split"]: r["n"]
         for r in assignment.where(F.col("split").isin(*names))

@@ -39,5 +39,14 @@ def read_raw(
 
 
 def write_raw(df: DataFrame, path: str) -> None:
-    """Write text columns so that ``read_raw`` gets them back, line breaks included."""
-    df.write.csv(path, header=True, quote='"', escape='"', mode="errorifexists")
+    """Write text columns so that ``read_raw`` gets them back, line breaks and outer
+    spaces included."""
+    df.write.csv(
+        path,
+        header=True,
+        quote='"',
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+        mode="errorifexists",
+    )
