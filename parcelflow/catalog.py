@@ -50,13 +50,6 @@ def _located(spark, d) -> tuple[DataFrame, DataFrame]:
     return centroids, f.located_orders(a.orders(spark, d), a.customers(spark, d), centroids)
 
 
-def _details(spark, d) -> DataFrame:
-    centroids, located = _located(spark, d)
-    return f.item_details(
-        a.order_items(spark, d), located, a.sellers(spark, d), a.products(spark, d), centroids
-    )
-
-
 def order_features(spark: SparkSession, d: str) -> DataFrame:
     return f.order_features(
         a.orders(spark, d),
@@ -135,7 +128,16 @@ def zip_centroid_median(spark, d):
 
 
 def item_distance(spark, d):
-    details = _details(spark, d)
+    centroids, located = _located(spark, d)
+    items = a.order_items(spark, d)
+    details = f.item_details(
+        items,
+        located,
+        a.sellers(spark, d),
+        a.products(spark, d),
+        centroids,
+        cluster_by_order=f.has_small_orders(items),
+    )
     return _doubles(_rounded(details, 3, "seller_distance_km"))
 
 

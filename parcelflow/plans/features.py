@@ -157,6 +157,11 @@ def item_features(details: DataFrame, small_orders: bool = False) -> DataFrame:
     )
 
 
+def has_small_orders(order_items: DataFrame) -> bool:
+    """True when every order has at most MAX_ITEMS_IN_A_SET items, by counting them."""
+    return group_sizes(order_items, "order_id").largest <= MAX_ITEMS_IN_A_SET
+
+
 def order_item_features(
     order_items: DataFrame,
     located: DataFrame,
@@ -165,7 +170,7 @@ def order_item_features(
     centroids: DataFrame,
 ) -> DataFrame:
     """``item_features`` of the located orders, planned by the size of the largest order."""
-    small = group_sizes(order_items, "order_id").largest <= MAX_ITEMS_IN_A_SET
+    small = has_small_orders(order_items)
     details = item_details(order_items, located, sellers, products, centroids, small)
     return item_features(details, small)
 
