@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +20,7 @@ from parcelflow.plans.staging import stage
 from parcelflow.plans.targets import model_dataset, order_targets
 from parcelflow.schemas import CURATED, ORDER_FEATURES, ORDER_TARGETS, STAGING
 from parcelflow.sources.lake import CURATED_LAYER, RAW, STAGING_LAYER, Lake, new_run_id
+from parcelflow.sources.manifests import compare_manifests, manifest_entries, validate_files
 from parcelflow.sources.raw_csv import raw_path, read_raw
 
 
@@ -24,14 +28,22 @@ class RowCountError(ValueError):
     """A raw table does not hold the rows its manifest promises."""
 
 
+def _side_by_side(load: Callable[[str], DataFrame], names: Iterable[str]) -> dict[str, DataFrame]:
+    """Load independent tables at the same time: the small ones ride along."""
+    names = list(names)
+    with ThreadPoolExecutor(max_workers=len(names)) as pool:
+        return dict(zip(names, pool.map(load, names)))
+
+
 def load_raw(
     lake: Lake, folder: str, run_id: str, expected: DataFrame | None = None
 ) -> dict[str, DataFrame]:
     """Copy every CSV table; with ``expected`` (table_name, row_count) check the counts."""
-    tables = {
-        name: lake.write(read_raw(lake.spark, raw_path(folder, name), name), run_id, RAW, name)
-        for name in STAGING
-    }
+
+    def load(name: str) -> DataFrame:
+        return lake.write(read_raw(lake.spark, raw_path(folder, name), name), run_id, RAW, name)
+
+    tables = _side_by_side(load, STAGING)
     if expected is not None:
         wrong = row_count_mismatches(table_row_counts(tables), expected).first()
         if wrong:
@@ -44,9 +56,11 @@ def load_raw(
 
 def load_staging(lake: Lake, raw: dict[str, DataFrame], run_id: str) -> dict[str, DataFrame]:
     """Type every raw table, then require all declared keys and references."""
-    tables = {
-        name: lake.write(stage(df, name), run_id, STAGING_LAYER, name) for name, df in raw.items()
-    }
+
+    def load(name: str) -> DataFrame:
+        return lake.write(stage(raw[name], name), run_id, STAGING_LAYER, name)
+
+    tables = _side_by_side(load, raw)
     require_clean(layer_violations(tables, STAGING))
     return tables
 
@@ -96,6 +110,21 @@ def run_ingestion(
     return run_id
 
 
+def validated_ingestion(
+    spark: SparkSession,
+    folder: str,
+    root: str,
+    benchmark: DataFrame | None,
+    latest: DataFrame | None = None,
+) -> str:
+    """Check the files against the benchmark manifest, compare the latest manifest with
+    it if there is one, then load. Manifests are typed rows."""
+    validate_files(spark, folder, benchmark)
+    if latest is not None:
+        compare_manifests(manifest_entries(benchmark), manifest_entries(latest))
+    return run_ingestion(spark, folder, root, expected_row_counts(benchmark))
+
+
 def published_model_dataset(lake: Lake, task: str, run_id: str | None = None) -> DataFrame:
     """The model dataset of one task in the published (or given) run."""
     run_id = run_id or lake.current_run()

@@ -15,11 +15,20 @@ from datetime import UTC, datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from parcelflow.schemas import CURATED, STAGING
 
 RAW, STAGING_LAYER, CURATED_LAYER = "raw", "staging", "curated"
 _LOG_SCHEMA = "sequence bigint, run_id string, published_at timestamp"
 
 
+def _schema(layer: str, table: str) -> T.StructType:
+    if layer == CURATED_LAYER:
+        return CURATED[table].schema
+    return STAGING[table].raw_schema if layer == RAW else STAGING[table].schema
+
+
 def new_run_id() -> str:
     return f"{datetime.now(UTC):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
 
@@ -44,14 +53,16 @@ class Lake:
 
     def write(self, df: DataFrame, run_id: str, layer: str, table: str) -> DataFrame:
         """Replace the table of this run and return it as read back."""
-        df.write.mode("overwrite").parquet(self.path(run_id, layer, table))
-        return self.read(layer, table, run_id)
+        path = self.path(run_id, layer, table)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def read(self, layer: str, table: str, run_id: str | None = None) -> DataFrame:
         run_id = run_id or self.current_run()
         if run_id is None:
             raise FileNotFoundError(f"Nothing is published in {self.root}.")
-        return self.spark.read.parquet(self.path(run_id, layer, table))
+        schema = _schema(layer, table)
+        return self.spark.read.schema(schema).parquet(self.path(run_id, layer, table))
 
     def read_layer(self, layer: str, tables, run_id: str | None = None) -> Mapping[str, DataFrame]:
         run_id = run_id or self.current_run()

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelflow.schemas import DATASET_FILES, STAGING
-from parcelflow.sources.raw_csv import raw_path, read_raw
+from parcelflow.sources.raw_csv import raw_path
 
 # The keys of a file entry, and those that two manifests may differ in.
 FILE_KEYS = (
@@ -184,15 +184,15 @@ def csv_shapes(spark: SparkSession, folder: str) -> DataFrame:
     """
     shapes = []
     for name, file_name in DATASET_FILES.items():
-        path = raw_path(folder, name)
-        header = spark.read.csv(path, header=True, quote='"', escape='"').columns
-        counted = spark.read.csv(
-            path,
+        table = spark.read.csv(
+            raw_path(folder, name),
             header=True,
             quote='"',
             escape='"',
             multiLine=STAGING[name].free_text,
-        ).agg(F.count("*").alias("row_count"))
+        )
+        header = table.columns
+        counted = table.agg(F.count("*").alias("row_count"))
         shapes.append(
             counted.select(
                 F.lit(file_name).alias("file_name"),

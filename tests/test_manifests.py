@@ -6,13 +6,26 @@ from pyspark.sql import functions as F
 
 from fixture_tables import write_tables
 from parcelflow.schemas import DATASET_FILES
+from parcelflow.plans.ingest import validated_ingestion
 from parcelflow.sources import manifests as m
+from parcelflow.sources.lake import Lake
+
+
+def write_raw(folder):
+    write_tables(folder, extra={"orders": [",".join(["x"] * 8)]})
+    return folder
 
 
 @pytest.fixture
 def raw(tmp_path):
-    write_tables(tmp_path / "raw", extra={"orders": [",".join(["x"] * 8)]})
-    return tmp_path / "raw"
+    return write_raw(tmp_path / "raw")
+
+
+@pytest.fixture(scope="module")
+def manifest(spark, tmp_path_factory):
+    """The manifest of files like those of ``raw``."""
+    built = build(spark, write_raw(tmp_path_factory.mktemp("raw")))
+    return spark.createDataFrame(built.collect(), built.schema)
 
 
 def listing(spark, raw, wrong=None, skip=None):
@@ -30,8 +43,8 @@ def build(spark, raw, **changes):
     )
 
 
-def test_build(spark, raw):
-    rows = {r["file_id"]: r for r in build(spark, raw).collect()}
+def test_build(raw, manifest):
+    rows = {r["file_id"]: r for r in manifest.collect()}
     assert set(rows) == set(DATASET_FILES)
     row = rows["orders"]
     content = (raw / DATASET_FILES["orders"]).read_bytes()
@@ -62,9 +75,9 @@ def test_missing_file(spark, raw):
         m.build_manifest(spark, str(raw), "o/d", 2, "now", sizes)
 
 
-def test_benchmark_is_kept_and_temporary_replaced(spark, raw, tmp_path):
+def test_benchmark_is_kept_and_temporary_replaced(spark, manifest, tmp_path):
     folder = str(tmp_path / "manifests")
-    table = build(spark, raw)
+    table = manifest
     assert m.load_manifest(spark, folder) is None
     assert m.save_manifest(table, folder) == m.BENCHMARK
     for version in (3, 4):
@@ -77,8 +90,7 @@ def test_benchmark_is_kept_and_temporary_replaced(spark, raw, tmp_path):
     assert stored(m.BENCHMARK) == {2} and stored(m.TEMPORARY) == {4}
 
 
-def test_valid_files_pass(spark, raw):
-    manifest = build(spark, raw)
+def test_valid_files_pass(spark, raw, manifest):
     assert m.validate_files(spark, str(raw), manifest) is None
     assert m.validate_files(spark, str(raw), manifest, raise_on_first=False).count() == 0
 
@@ -93,19 +105,28 @@ def test_valid_files_pass(spark, raw):
         ("sha256", "0" * 64),
     ],
 )
-def test_wrong_metrics(spark, raw, column, value):
-    manifest = build(spark, raw)
+def test_wrong_metrics(spark, raw, manifest, column, value):
     changed = manifest.withColumn(
         column, F.when(F.col("file_id") == "orders", F.lit(value)).otherwise(F.col(column))
     )
     with pytest.raises(m.ManifestError, match=f"{column} of orders"):
         m.validate_files(spark, str(raw), changed)
-    rows = m.validate_files(spark, str(raw), changed, raise_on_first=False).collect()
-    assert [(r["file_id"], r["check_name"]) for r in rows] == [("orders", column)]
 
 
-def test_folder_rules(spark, raw, tmp_path):
-    manifest = build(spark, raw)
+def test_all_violations_at_once(spark, raw, manifest):
+    is_orders = F.col("file_id") == "orders"
+    changed = manifest.withColumns(
+        {
+            "row_count": F.when(is_orders, 99).otherwise(F.col("row_count")),
+            "sha256": F.when(is_orders, "0").otherwise(F.col("sha256")),
+        }
+    )
+    rows = m.validate_files(spark, str(raw), changed, raise_on_first=False)
+    found = [(r["file_id"], r["check_name"]) for r in rows.orderBy("check_order").collect()]
+    assert found == [("orders", "row_count"), ("orders", "sha256")]
+
+
+def test_folder_rules(spark, raw, manifest, tmp_path):
     with pytest.raises(FileNotFoundError, match="does not exist"):
         m.validate_files(spark, str(tmp_path / "none"), manifest)
     (tmp_path / "empty").mkdir()
@@ -121,6 +142,18 @@ def test_folder_rules(spark, raw, tmp_path):
         m.validate_files(spark, str(raw), manifest)
 
 
+def test_validated_ingestion(spark, tmp_path):
+    folder = write_tables(tmp_path / "raw")
+    manifest = build(spark, tmp_path / "raw")
+    root = str(tmp_path / "lake")
+    run_id = validated_ingestion(spark, folder, root, manifest, manifest)
+    assert Lake(spark, root).current_run() == run_id
+    newer = manifest.withColumn("dataset_version", F.lit(3))
+    with pytest.raises(m.ManifestError, match="dataset_version"):
+        validated_ingestion(spark, folder, root, manifest, newer)
+    assert Lake(spark, root).current_run() == run_id
+
+
 FILE = {
     "file_name": "orders.csv",
     "dataset": "owner/dataset",
