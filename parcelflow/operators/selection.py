@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 from datetime import datetime, timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -14,84 +16,86 @@ from parcelflow.operators.prefix import global_rank
 # Above this many rows in one second, the second itself is ranked in parallel.
 MAX_ROWS_PER_SECOND = 1_000_000
 
+_ALL_TIME = datetime(1, 1, 1)
+
+
+@dataclass(frozen=True)
+class _Search:
+    """The row ``position`` is the ``rank``-th of the ``rows`` in the interval ``start``."""
+
+    position: int
+    start: datetime
+    rank: int
+    rows: int = 0
+
 
 def rows_at_positions(
     df: DataFrame, timestamp: str, tie_breaker: str, positions: Sequence[int]
 ) -> dict[int, Row]:
     """Rows (timestamp, tie_breaker) at 0-based ``positions`` of the ascending order.
 
-    Narrows from days to seconds to rows. The histograms have at most one row per
-    calendar day and 86,400 rows per chosen day, and only the chosen rows reach the
-    driver; the table itself is scanned, never shuffled.
+    Narrows from all time to days, to seconds, to rows. The histograms have at most
+    one row per calendar day and 86,400 rows per chosen day, and only chosen rows
+    reach the driver; the table itself is scanned, never shuffled.
     """
-    wanted = sorted(set(positions))
-    if not wanted:
+    if not positions:
         return {}
     keys = df.select(timestamp, tie_breaker)
-    days = _hit_buckets(
-        keys.groupBy(F.to_date(timestamp).alias("bucket")).agg(F.count("*").alias("n")),
-        [(None, p, p) for p in wanted],
-    )
-    starts = {p: (datetime(d.year, d.month, d.day), r) for p, (d, r, _) in days.items()}
-    second = F.hour(timestamp) * 3600 + F.minute(timestamp) * 60 + F.second(timestamp)
-    day_starts = sorted({s for s, _ in starts.values()})
-    by_second = (
-        _within(keys, timestamp, day_starts, timedelta(days=1))
-        .groupBy(F.to_date(timestamp).alias("day"), second.alias("bucket"))
-        .agg(F.count("*").alias("n"))
-    )
-    seconds = _hit_buckets(by_second, [(s.date(), p, r) for p, (s, r) in starts.items()])
-    result: dict[int, Row] = {}
-    for instant in sorted({_instant(starts[p][0], b) for p, (b, _, _) in seconds.items()}):
-        here = {
-            p: r
-            for p, (b, r, _) in seconds.items()
-            if _instant(starts[p][0], b) == instant
-        }
-        size = next(
-            n for p, (b, _, n) in seconds.items() if _instant(starts[p][0], b) == instant
-        )
-        rows = _within(keys, timestamp, [instant], timedelta(seconds=1))
-        if size > MAX_ROWS_PER_SECOND:
+    when = F.col(timestamp)
+    day = F.to_date(when).cast("timestamp_ntz")
+    second = day + F.make_dt_interval(F.lit(0), F.hour(when), F.minute(when), F.second(when))
+
+    searches = [_Search(p, _ALL_TIME, p) for p in sorted(set(positions))]
+    searches = _narrow(keys, _instant(_ALL_TIME), day, searches)
+    in_days = _within(keys, when, {s.start for s in searches}, timedelta(days=1))
+    searches = _narrow(in_days, day, second, searches)
+
+    found: dict[int, Row] = {}
+    for start in sorted({s.start for s in searches}):
+        here = [s for s in searches if s.start == start]
+        rows = _within(keys, when, {start}, timedelta(seconds=1))
+        if here[0].rows > MAX_ROWS_PER_SECOND:
             ranked = global_rank(rows, [timestamp, tie_breaker])
         else:
             order = W.orderBy(timestamp, tie_breaker)
             ranked = rows.withColumn("position", F.row_number().over(order) - 1)
-        picked = ranked.where(F.col("position").isin(list(here.values()))).collect()
+        picked = ranked.where(F.col("position").isin([s.rank for s in here])).collect()
         by_rank = {row["position"]: row for row in picked}
-        result.update({p: by_rank[r] for p, r in here.items()})
-    return result
+        found.update({s.position: by_rank[s.rank] for s in here})
+    return found
 
 
-def _instant(day: datetime, second: int) -> datetime:
-    return day + timedelta(seconds=second)
+def _instant(value: datetime) -> Column:
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def _within(df: DataFrame, timestamp: str, starts: list[datetime], width: timedelta) -> DataFrame:
+def _within(
+    df: DataFrame, when: Column, starts: Iterable[datetime], width: timedelta
+) -> DataFrame:
     """Rows inside any of the intervals, as range filters that reach the scan."""
-    inside = F.lit(False)
-    for start in starts:
-        low = F.lit(start.isoformat(sep=" ")).cast("timestamp_ntz")
-        high = F.lit((start + width).isoformat(sep=" ")).cast("timestamp_ntz")
-        inside = inside | ((F.col(timestamp) >= low) & (F.col(timestamp) < high))
-    return df.where(inside)
-
-
-def _hit_buckets(histogram: DataFrame, wanted) -> dict[int, tuple]:
-    """position -> (bucket, rank inside the bucket, rows of the bucket)."""
-    has_day = "day" in histogram.columns
-    window = W.partitionBy("day").orderBy("bucket") if has_day else W.orderBy("bucket")
-    earlier = window.rowsBetween(W.unboundedPreceding, -1)
-    running = histogram.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-    hit = F.lit(False)
-    for day, _, rank in wanted:
-        inside = (F.col("before") <= rank) & (F.col("before") + F.col("n") > rank)
-        hit = hit | (inside & (F.col("day") == F.lit(day)) if has_day else inside)
-    found = running.where(hit).collect()
-    result = {}
-    for day, position, rank in wanted:
-        for row in found:
-            same_day = not has_day or row["day"] == day
-            if same_day and row["before"] <= rank < row["before"] + row["n"]:
-                result[position] = (row["bucket"], rank - row["before"], row["n"])
-    return result
+    inside = [(when >= _instant(s)) & (when < _instant(s + width)) for s in sorted(starts)]
+    return df.where(reduce(lambda a, b: a | b, inside))
+
+
+def _narrow(
+    df: DataFrame, interval: Column, bucket: Column, searches: list[_Search]
+) -> list[_Search]:
+    """Move every search from its interval into the bucket that holds its rank."""
+    counted = df.groupBy(interval.alias("start"), bucket.alias("bucket")).agg(
+        F.count("*").alias("n")
+    )
+    earlier = W.partitionBy("start").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    running = counted.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    hits = [
+        (F.col("start") == _instant(s.start))
+        & (F.col("before") <= s.rank)
+        & (F.col("before") + F.col("n") > s.rank)
+        for s in searches
+    ]
+    rows = running.where(reduce(lambda a, b: a | b, hits)).collect()
+    return [
+        _Search(s.position, r["bucket"], s.rank - r["before"], r["n"])
+        for s in searches
+        for r in rows
+        if r["start"] == s.start and r["before"] <= s.rank < r["before"] + r["n"]
+    ]
