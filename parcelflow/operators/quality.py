@@ -32,10 +32,16 @@ def _labelled(df: DataFrame, table: str) -> DataFrame:
     return df.select(F.lit(table).alias("table_name"), "check_name", "invalid_row_count")
 
 
+def _null_checks(columns: Sequence[str]) -> dict[str, Column]:
+    return {f"not_null:{c}": F.col(c).isNull() for c in columns}
+
+
+def _flag_checks(columns: Sequence[str]) -> dict[str, Column]:
+    return {f"zero_or_one:{c}": ~F.col(c).isin(0, 1) for c in columns}
+
+
 def not_null_violations(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    return _labelled(
-        one_pass_counts(df, {f"not_null:{c}": F.col(c).isNull() for c in columns}), table
-    )
+    return _labelled(one_pass_counts(df, _null_checks(columns)), table)
 
 
 def key_violations(df: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
@@ -71,9 +77,7 @@ def reference_violations(
 
 def flag_violations(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
     """Values of nullable 0/1 columns that are neither; null passes."""
-    return _labelled(
-        one_pass_counts(df, {f"zero_or_one:{c}": ~F.col(c).isin(0, 1) for c in columns}), table
-    )
+    return _labelled(one_pass_counts(df, _flag_checks(columns)), table)
 
 
 def cast_violations(raw: DataFrame, table: Table) -> DataFrame:
@@ -113,9 +117,8 @@ def table_violations(
     df: DataFrame, table: Table, tables: Mapping[str, DataFrame]
 ) -> DataFrame:
     """Every declared constraint of one table; references look up ``tables``."""
-    checks = []
-    if table.required_columns:
-        checks.append(not_null_violations(df, table.name, table.required_columns))
+    row_checks = {**_null_checks(table.required_columns), **_flag_checks(table.binary_flags)}
+    checks = [_labelled(one_pass_counts(df, row_checks), table.name)] if row_checks else []
     if table.key:
         checks.append(key_violations(df, table.name, table.key))
     for ref in table.references:
@@ -124,8 +127,6 @@ def table_violations(
                 df, table.name, ref.columns, tables[ref.parent], ref.parent_columns, ref.parent
             )
         )
-    if table.binary_flags:
-        checks.append(flag_violations(df, table.name, table.binary_flags))
     return reduce(DataFrame.unionByName, checks)
 
 
