@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelflow.llm import anchors, exact
+from parcelflow.llm import anchors, exact, radix
 from parcelflow.llm.storage import read
 
 
@@ -17,7 +17,12 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(read(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return radix.remove_repeats(read(spark, sf_dir, "documents")).drop("kept_bytes")
+
+
 QUERIES = {
     "op7_substring_dedup": op7_substring_dedup,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
