@@ -79,10 +79,13 @@ def slices(
             begin = end
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(
+    data: np.ndarray, offsets: np.ndarray, separators: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Begin and end of every word, and the index of the first word of each text (and one
-    more, the number of words)."""
-    inside = ~space_table()[data]
+    more, the number of words). ``separators`` tells for each byte whether it parts words;
+    white space unless given."""
+    inside = ~(space_table() if separators is None else separators)[data]
     cut = np.zeros(len(data) + 1, bool)
     cut[offsets] = True
     begin = inside.copy()
