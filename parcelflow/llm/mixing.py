@@ -127,13 +127,14 @@ def mixed(
     sources: str = "source",
     weights: dict | None = None,
     seed: int = 42,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per row of ``df``: id, ``size``, ``source_size``, ``target``, ``taken``.
 
     ``sources`` is a column with one source, or with an array of sources that the document
     belongs to. Sizes are words ``[^\\x20\\x09-\\x0D]+`` (null text: 0). Without ``weights`` the
     sources in order of code points, null last, weigh 5, 2, 1, repeating. ``taken`` is a
-    multiple of the size, 0 to 3 times. ``source_size`` and ``target`` are of the document's
+    multiple of the size, 0 to 3 times; the columns in ``keep`` follow. ``source_size`` and ``target`` are of the document's
     source (of the first in order, if several). Rows repeated or with null ids count on their
     own; equal seeds give equal results. An empty table gives no rows.
     """
@@ -149,6 +150,7 @@ def mixed(
         F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("size"),
         pattern.alias("pattern"),
         F.xxhash64(F.lit(seed), F.col(id_column)).alias("h"),
+        F.struct(F.lit(0), *[F.col(c) for c in keep]).alias("kept"),
     )
     rows = write_table(rows)
     totals = rows.groupBy("pattern").agg(F.sum("size").alias("size"))
@@ -240,4 +242,19 @@ def mixed(
         "source_size",
         "target",
         (F.col("size") * (F.col("rounds") + once_more)).alias("taken"),
+        *[F.col(f"kept.{c}").alias(c) for c in keep],
     )
+
+
+def mix(df: DataFrame, id_column: str = "doc_id", text: str = "text", sources: str = "source") -> DataFrame:
+    """The rows of ``df`` that the mix takes, with all their columns, ``mix_times`` (1 to 3) and
+    ``mix_words``."""
+    row = "_mix_row"
+    rows = write_table(df.withColumn(row, F.monotonically_increasing_id()))
+    taken = mixed(rows, id_column, text, sources, keep=(row,)).where("taken > 0")
+    taken = taken.select(
+        row,
+        (F.col("taken") / F.col("size")).cast("int").alias("mix_times"),
+        F.col("taken").alias("mix_words"),
+    )
+    return rows.join(taken, row).drop(row)

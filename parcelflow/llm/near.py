@@ -338,7 +338,7 @@ def near_groups(
     words: int = 5,
     share: tuple[int, int] = (80, 100),
 ) -> DataFrame:
-    """One row per row of ``df``: id, ``n_shingles``, ``component_id``, ``kept``, ``row_key``.
+    """One row per row of ``df``: id, ``n_shingles``, ``component_id``, ``kept``.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z. Two rows are linked when
     ``share[1] * |A & B| >= share[0] * |A | B|`` for their sets of distinct shingles; a text with
@@ -348,14 +348,41 @@ def near_groups(
     part, and a component of null ids only has a null id. ``kept`` marks the rows whose id is
     the component's (for a null component: its first row). Other columns are ignored.
     """
-    spark = df.sparkSession
-    partitions = shuffle_partitions(spark)
     texts, _ = keyed_texts(df, text, id_column)
-    id_type = df.schema[id_column].dataType.simpleString()
-    sketches = write_table(texts.mapInArrow(_sketch(words), SKETCHES.format(id_type)))
+    told = _groups_of(texts, words, share)
+    kept = F.col("alone") | (F.col("id") == F.col("component_id"))
+    return told.select(
+        F.col("id").alias(id_column),
+        F.col("n").alias("n_shingles"),
+        "component_id",
+        F.coalesce(kept, F.col("stays")).alias("kept"),
+    )
+
+
+def drop_near_copies(
+    df: DataFrame,
+    id_column: str = "doc_id",
+    text: str = "text",
+    words: int = 5,
+    share: tuple[int, int] = (80, 100),
+) -> DataFrame:
+    """``df`` with one row of each group of ``near_groups``: the one with the least id (null ids
+    last), of several the first. All rows without words stay."""
+    texts, _ = keyed_texts(df, text, id_column, whole="whole")
+    stay = _groups_of(texts, words, share).where("stays").select(ROW)
+    rest = [F.col(f"whole.`{c}`").alias(c) if c != text else F.col(BODY).alias(c) for c in df.columns]
+    return join_by_row(texts, stay, "inner").select(*rest)
+
+
+def _groups_of(texts: DataFrame, words: int, share: tuple[int, int]) -> DataFrame:
+    """Row key, ``id``, ``n``, ``alone``, ``component_id``, ``stays`` of every row of a keyed table."""
+    partitions = shuffle_partitions(texts.sparkSession)
+    id_type = texts.schema["id"].dataType.simpleString()
+    sketches = write_table(texts.select(ROW, "id", BODY).mapInArrow(_sketch(words), SKETCHES.format(id_type)))
 
     classes = sketches.where("n > 0").groupBy("a", "b", "n").agg(
-        F.min(ROW).alias("node"), F.min("id").alias("least_id")
+        F.min(ROW).alias("node"),
+        F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", ROW)).alias("least"),
     )
     of_class = write_table(
         sketches.where("n > 0")
@@ -393,18 +420,16 @@ def near_groups(
 
     rooted = classes.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = write_table(rooted)
-    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    least = rooted.groupBy("root").agg(F.min("least").alias("least"))
     told = sketches.select(ROW, "id", "n", "a", "b").join(
-        rooted.join(least, "root").select("a", "b", "n", "root", "component_id"), ["a", "b", "n"], "left"
+        rooted.select("a", "b", "n", "root").join(least, "root"), ["a", "b", "n"], "left"
     )
     alone = F.col("root").isNull()
-    component = F.when(alone, F.col("id")).otherwise(F.col("component_id"))
-    kept = alone | (F.col("id") == F.col("component_id"))
-    nameless = F.col("component_id").isNull() & (F.col(ROW) == F.col("root"))
     return told.select(
-        F.col("id").alias(id_column),
-        F.col("n").alias("n_shingles"),
-        component.alias("component_id"),
-        F.coalesce(kept, nameless).alias("kept"),
         ROW,
+        "id",
+        "n",
+        alone.alias("alone"),
+        F.when(alone, F.col("id")).otherwise(F.col("least.id")).alias("component_id"),
+        (alone | (F.col(ROW) == F.col(f"least.{ROW}"))).alias("stays"),
     )

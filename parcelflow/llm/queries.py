@@ -11,7 +11,7 @@ from parcelflow.llm.storage import read
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    return near.near_groups(docs, words=3, share=(85, 100)).drop("row_key")
+    return near.near_groups(docs, words=3, share=(85, 100))
 
 
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

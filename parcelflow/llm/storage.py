@@ -36,11 +36,16 @@ def text_bytes(df: DataFrame, column: str) -> int:
 
 
 def keyed_texts(
-    df: DataFrame, column: str, id_column: str, partition_bytes: int = 12_000_000
+    df: DataFrame,
+    column: str,
+    id_column: str,
+    partition_bytes: int = 12_000_000,
+    whole: str | None = None,
 ) -> tuple[DataFrame, int]:
     """Row key, ``id`` and ``body`` of every row of ``df``, as a table bucketed by the key, and the
     bytes of its texts.
 
+    With ``whole``, a column of that name holds the other columns of the row.
     The texts cross the network once. Joins on the row key read the buckets in place;
     only the other side of the join is shuffled. The key tells repeated ids apart.
     """
@@ -51,6 +56,7 @@ def keyed_texts(
         F.monotonically_increasing_id().alias(ROW),
         F.col(id_column).alias("id"),
         F.col(column).alias(BODY),
+        *([F.struct(*[F.col(c) for c in df.columns if c != column]).alias(whole)] if whole else []),
     )
     name = f"texts_{uuid.uuid4().hex}"
     (
