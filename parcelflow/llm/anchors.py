@@ -134,11 +134,11 @@ def remove_repeats(
     texts, total = keyed_texts(df, text, id_column)
     parts = max(shuffle_partitions(df.sparkSession), total // PART_BYTES + 1)
     body = texts.select(ROW, BODY)
-    hits = blocks.answers(body.mapInArrow(_probe(block, parts), blocks.SCHEMA), PROBE_BYTES)
+    hits = blocks.answers(body.mapInArrow(_probe(block, parts), blocks.SCHEMA), PROBE_BYTES, parts)
     windows = join_by_row(body, hits, "inner").mapInArrow(
         _extend(block, width, parts), blocks.SCHEMA
     )
-    spans = blocks.answers(windows, WINDOW_BYTES)
+    spans = blocks.answers(windows, WINDOW_BYTES, parts)
     id_type = df.schema[id_column].dataType.simpleString()
     schema = (
         f"`{id_column}` {id_type}, n_words long, n_removed long, kept_sha256 string, kept_text string"

@@ -18,9 +18,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from parcelflow.llm.arrays import is_in, packed, repeated, unpacked
+from parcelflow.llm.arrays import is_in, mixed, packed, repeated, unpacked
 from parcelflow.llm.storage import ROW
 
 SCHEMA = "part int, mark int, hashes binary, row_keys binary, places binary"
@@ -33,7 +32,8 @@ ARROW = pa.schema(
         ("places", pa.binary()),
     ]
 )
-FOUND = f"{ROW} long, places binary"
+REPLIES = "texts int, row_keys binary, places binary"
+FOUND = f"{ROW} long, found binary"
 COUNTS, ASKS, ANSWERED, KNOWN = range(4)
 
 
@@ -92,7 +92,7 @@ def send(
     )
 
 
-def _answer(width: int) -> Callable[[pa.Table], pa.Table]:
+def _answer(width: int, groups: int) -> Callable[[pa.Table], pa.Table]:
     def run(table: pa.Table) -> pa.Table:
         hashes = {m: [np.zeros(0, np.uint64)] for m in range(4)}
         keys = {m: [np.zeros(0, np.int64)] for m in range(4)}
@@ -104,40 +104,52 @@ def _answer(width: int) -> Callable[[pa.Table], pa.Table]:
             places[mark].append(np.frombuffer(place, "<i4"))
         asked = np.concatenate(hashes[ASKS])
         seen = repeated(np.concatenate([*hashes[COUNTS], asked]))
+        # A hash known from one slice answers those who ask for it from another.
         seen = np.union1d(seen, np.concatenate(hashes[KNOWN]))
         hit = is_in(asked, seen)
-        # A hash known from one slice answers those who ask for it from another.
         own_keys = np.concatenate([*keys[ANSWERED], np.concatenate(keys[ASKS])[hit]])
         own_places = np.concatenate([*places[ANSWERED], np.concatenate(places[ASKS])[hit]])
-        return per_row(own_keys, own_places)
+        texts = mixed(own_keys.astype(np.uint64)) % np.uint64(groups)
+        order = np.lexsort((own_places, own_keys, texts))
+        texts, own_keys, own_places = texts[order], own_keys[order], own_places[order]
+        group, first = np.unique(texts, return_index=True)
+        ends = np.append(first[1:], len(texts))
+        return pa.table(
+            [
+                pa.array(group.astype(np.int32)),
+                pa.array([own_keys[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()),
+                pa.array([own_places[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()),
+            ],
+            names=["texts", "row_keys", "places"],
+        )
 
     return run
 
 
-def per_row(keys: np.ndarray, places: np.ndarray) -> pa.Table:
-    """One row for each row key: its places."""
-    order = np.lexsort((places, keys))
+def _per_text(table: pa.Table) -> pa.Table:
+    keys = np.frombuffer(b"".join(table.column("row_keys").to_pylist()), "<i8")
+    places = np.frombuffer(b"".join(table.column("places").to_pylist()), "<i4")
+    order = np.argsort(keys, kind="stable")
     keys, places = keys[order], places[order]
     own, first = np.unique(keys, return_index=True)
     ends = np.append(first[1:], len(keys))
-    blobs = [places[a:b].astype("<i4").tobytes() for a, b in zip(first, ends)]
-    return pa.table([pa.array(own, pa.int64()), pa.array(blobs, pa.binary())], names=[ROW, "places"])
+    blobs = [places[a:b].tobytes() for a, b in zip(first, ends)]
+    return pa.table([pa.array(own, pa.int64()), pa.array(blobs, pa.binary())], names=[ROW, "found"])
 
 
-def answers(sent: DataFrame, width: int) -> DataFrame:
-    """One row for each text with an answer: ``found`` lists blobs of the places whose hash
-    occurs elsewhere too, at most one blob for each part."""
-    replies = sent.groupBy("part").applyInArrow(_answer(width), FOUND)
-    return replies.groupBy(ROW).agg(F.collect_list("places").alias("found"))
+def answers(sent: DataFrame, width: int, parts: int) -> DataFrame:
+    """One row for each text with an answer: ``found`` holds the places whose hash occurs
+    elsewhere too. A part's answers travel as one row for each group of texts."""
+    groups = 2 * parts
+    replies = sent.groupBy("part").applyInArrow(_answer(width, groups), REPLIES)
+    return replies.groupBy("texts").applyInArrow(_per_text, FOUND)
 
 
-def joined_places(blobs) -> np.ndarray:
-    """All places of one text."""
-    own = [np.frombuffer(b, "<i4") for b in blobs or () if b]
-    return np.concatenate(own).astype(np.int64) if own else np.zeros(0, np.int64)
-
-
-def place_column(lists: pa.Array, first: np.ndarray, step: int = 1) -> np.ndarray:
+def place_column(found: pa.Array, first: np.ndarray, step: int = 1) -> np.ndarray:
     """Places of every text of a slice, counted from the start of the slice."""
-    moved = [joined_places(b) * step + first[i] for i, b in enumerate(lists.to_pylist())]
+    moved = [
+        np.frombuffer(b, "<i4").astype(np.int64) * step + first[i]
+        for i, b in enumerate(found.to_pylist())
+        if b
+    ]
     return np.concatenate(moved) if moved else np.zeros(0, np.int64)

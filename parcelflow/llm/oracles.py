@@ -6,19 +6,19 @@ ORACLES = {
     "op7_substring_dedup": rf"""
 WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
 p AS (
-    SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS at FROM d WHERE len(w) >= 35
+    SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS pos FROM d WHERE len(w) >= 35
 ), hashed AS (
-    SELECT doc_id, at, md5(array_to_string(w[at:at + 34], ' ')) AS h FROM p
+    SELECT doc_id, pos, md5(array_to_string(w[pos:pos + 34], ' ')) AS h FROM p
 ), repeated AS (
-    SELECT doc_id, at FROM (SELECT *, count(*) OVER (PARTITION BY h) AS n FROM hashed) WHERE n > 1
+    SELECT doc_id, pos FROM (SELECT *, count(*) OVER (PARTITION BY h) AS n FROM hashed) WHERE n > 1
 ), gone AS (
-    SELECT DISTINCT doc_id, unnest(range(at, at + 35)) AS at FROM repeated
+    SELECT DISTINCT doc_id, unnest(range(pos, pos + 35)) AS pos FROM repeated
 ), each AS (
-    SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS at FROM d
+    SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM d
 ), kept AS (
-    SELECT e.doc_id, count(g.at) AS n_removed,
-        coalesce(string_agg(word, ' ' ORDER BY e.at) FILTER (g.at IS NULL), '') AS rest
-    FROM each e LEFT JOIN gone g ON g.doc_id = e.doc_id AND g.at = e.at GROUP BY e.doc_id
+    SELECT e.doc_id, count(g.pos) AS n_removed,
+        coalesce(string_agg(word, ' ' ORDER BY e.pos) FILTER (WHERE g.pos IS NULL), '') AS rest
+    FROM each e LEFT JOIN gone g ON g.doc_id = e.doc_id AND g.pos = e.pos GROUP BY e.doc_id
 )
 SELECT d.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed,
     sha256(coalesce(rest, '')) AS kept_sha256

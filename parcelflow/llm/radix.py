@@ -252,13 +252,14 @@ def remove_repeats(
     parts = max(shuffle_partitions(df.sparkSession), total // PART_BYTES + 1)
     body = texts.select(ROW, BODY)
     first = blocks.answers(
-        body.mapInArrow(_first_pass(width, parts), blocks.SCHEMA), PLACE_BYTES
+        body.mapInArrow(_first_pass(width, parts), blocks.SCHEMA), PLACE_BYTES, parts
     )
     second = _states(join_by_row(body, first, "inner").mapInArrow(_second_pass(width), RUNS))
     second = write_table(second)
     third = blocks.answers(
         join_by_row(body, second, "inner").mapInArrow(_third_pass(width, parts), blocks.SCHEMA),
         WINDOW_BYTES,
+        parts,
     )
     id_type = df.schema[id_column].dataType.simpleString()
     schema = (
