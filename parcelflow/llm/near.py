@@ -4,7 +4,8 @@
    hash of a bucket the sketch keeps the count of leading zeros and 26 mantissa bits.
 2. Texts with the same shingle set become one class; from here on a class is one row.
 3. Banding: 42 bands of 6 registers. Classes that share a band meet in its bucket. A bucket
-   of more than 256 classes is cut into chunks, and pairs of chunks meet.
+   of more than 256 classes is cut into chunks, and pairs of chunks meet. The last 32 bands
+   only compare classes that the first ten have not joined yet.
 4. Estimate: where classes meet, the share of equal registers (8 bits of each: 4 for the zeros,
    4 of the mantissa) is corrected for chance collisions. Pairs that may reach the similarity,
    five standard errors given, join their classes to a family; only a spanning forest is
@@ -52,6 +53,7 @@ COARSE_ZEROS = 15
 ERRORS = 5.0
 CHUNK = 256
 SET_CHUNK = 128
+ROUNDS = ((0, 10), (10, REGISTERS // BAND_ROWS))
 
 SKETCHES = f"{ROW} long, id {{}}, n long, a long, b long, sketch binary, bands binary"
 
@@ -142,7 +144,7 @@ def _sketch(words: int):
                     pa.array(sums[0].view(np.int64)),
                     pa.array(sums[1].view(np.int64)),
                     pa.array([r.tobytes() for r in coarse(full)], pa.binary()),
-                    pa.array([k[k > 0].tobytes() for k in key], pa.binary()),
+                    pa.array([k.tobytes() for k in key], pa.binary()),
                 ],
                 names=[ROW, "id", "n", "a", "b", "sketch", "bands"],
             )
@@ -150,17 +152,18 @@ def _sketch(words: int):
     return run
 
 
-def _each_band(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        blobs = batch.column("bands").to_pylist()
-        count = np.array([len(b) // 8 for b in blobs], np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.frombuffer(b"".join(blobs), np.int64)),
-                pa.array(np.repeat(batch.column(ROW).to_numpy(), count)),
-            ],
-            names=["meet", ROW],
-        )
+def _each_band(low: int, high: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            blob = b"".join(batch.column("bands").to_pylist())
+            keys = np.frombuffer(blob, np.int64).reshape(batch.num_rows, -1)[:, low:high]
+            rows, bands = np.nonzero(keys)
+            nodes = batch.column(ROW).to_numpy()[rows]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys[rows, bands]), pa.array(nodes)], names=["meet", ROW]
+            )
+
+    return run
 
 
 def cells(members: DataFrame, size: Column, most: int) -> DataFrame:
@@ -233,6 +236,7 @@ def _may_link(share: float):
             blob = b"".join(table.column("sketch").to_pylist())
             sketch = np.frombuffer(blob, np.uint8).reshape(-1, REGISTERS)
             nodes, size = table.column(ROW).to_numpy(), table.column("n").to_numpy()
+            root = table.column("root").to_numpy()
             chunk, i, j = (table.column(c).to_numpy() for c in ("chunk", "i", "j"))
             starts = _cell_starts(table)
             cell = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(nodes))))
@@ -243,8 +247,9 @@ def _may_link(share: float):
                 if not len(k):
                     break
                 a, b = k, k + step
-                # In a cell of two chunks, only pairs across them; sizes must allow the share.
-                fits = (i[a] == j[a]) | (chunk[a] != chunk[b])
+                # In a cell of two chunks, only pairs across them; sizes must allow the share;
+                # what one family holds already needs no second look.
+                fits = ((i[a] == j[a]) | (chunk[a] != chunk[b])) & (root[a] != root[b])
                 fits &= np.minimum(size[a], size[b]) >= share * np.maximum(size[a], size[b])
                 a, b = a[fits], b[fits]
                 for at in range(0, len(a), 20_000):
@@ -391,18 +396,29 @@ def _groups_of(texts: DataFrame, words: int, share: tuple[int, int]) -> DataFram
         .where(F.col(ROW) == F.col("node"))
         .select(ROW, "n", "sketch", "bands")
     )
-    meetings = of_class.select(ROW, "bands").mapInArrow(_each_band, f"meet long, {ROW} long")
-    meetings = write_table(meetings)
-    sizes = meetings.groupBy("meet").agg(F.count("*").alias("size")).where("size > 1")
-    met = cells(meetings.join(sizes, "meet"), F.col("size"), CHUNK)
-    seen = (
-        met.join(of_class.select(ROW, "n", "sketch"), ROW)
-        .select("meet", "i", "j", "chunk", ROW, "n", "sketch")
-        .repartition(partitions, "meet", "i", "j")
-        .sortWithinPartitions("meet", "i", "j")
-    )
-    families = components(seen.mapInArrow(_may_link(share[0] / share[1]), "u long, v long"))
-    families = write_table(families)
+    families = links = None
+    for low, high in ROUNDS:
+        met = of_class.select(ROW, "bands").mapInArrow(_each_band(low, high), f"meet long, {ROW} long")
+        if families is None:
+            met = met.withColumn("root", F.col(ROW))
+        else:
+            known = families.withColumnRenamed("node", ROW)
+            met = met.join(known, ROW, "left").withColumn("root", F.coalesce("root", ROW))
+        met = write_table(met)
+        sizes = met.groupBy("meet").agg(
+            F.count("*").alias("size"), F.min("root").alias("least"), F.max("root").alias("most")
+        )
+        sizes = sizes.where(F.col("least") != F.col("most")).select("meet", "size")
+        seen = (
+            cells(met.join(sizes, "meet"), F.col("size"), CHUNK)
+            .join(of_class.select(ROW, "n", "sketch"), ROW)
+            .select("meet", "i", "j", "chunk", ROW, "root", "n", "sketch")
+            .repartition(partitions, "meet", "i", "j")
+            .sortWithinPartitions("meet", "i", "j")
+        )
+        close = write_table(seen.mapInArrow(_may_link(share[0] / share[1]), "u long, v long"))
+        links = close if links is None else links.union(close)
+        families = write_table(components(links))
 
     sizes = families.groupBy("root").agg(F.count("*").alias("size"))
     members = families.withColumnRenamed("node", ROW)
