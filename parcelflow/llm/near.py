@@ -4,7 +4,7 @@
    hash of a bucket the sketch keeps the count of leading zeros and 26 mantissa bits.
 2. Texts with the same shingle set become one class; from here on a class is one row.
 3. Banding: 42 bands of 6 registers. Classes that share a band meet in its bucket. A bucket
-   of more than 256 classes is cut into chunks, and pairs of chunks meet. The last 32 bands
+   of more than 1,024 classes is cut into chunks, and pairs of chunks meet. The last 32 bands
    only compare classes that the first ten have not joined yet.
 4. Estimate: where classes meet, the share of equal registers (8 bits of each: 4 for the zeros,
    4 of the mantissa) is corrected for chance collisions. Pairs that may reach the similarity,
@@ -51,7 +51,7 @@ BAND_ROWS = 6
 MANTISSA = 26
 COARSE_ZEROS = 15
 ERRORS = 5.0
-CHUNK = 256
+CHUNK = 1024
 SET_CHUNK = 128
 ROUNDS = ((0, 10), (10, REGISTERS // BAND_ROWS))
 
