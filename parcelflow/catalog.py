@@ -136,7 +136,6 @@ def item_distance(spark, d):
         a.sellers(spark, d),
         a.products(spark, d),
         centroids,
-        cluster_by_order=f.has_small_orders(items),
     )
     return _doubles(_rounded(details, 3, "seller_distance_km"))
 

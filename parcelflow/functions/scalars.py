@@ -63,4 +63,4 @@ def great_circle_km(lat_a: Column, lng_a: Column, lat_b: Column, lng_b: Column)
 
 def kilometres(distance: Column) -> Column:
     """A double distance as a two-decimal number, ties away from zero."""
-    return F.round(distance.cast("decimal(25,11)"), 2).cast(MONEY)
+    return F.round(distance.cast("decimal(38,15)"), 2).cast(MONEY)

@@ -1,122 +1,52 @@
-"""Exact medians per group, also for a group that holds a large share of all rows."""
+"""Exact medians per key by one plan for groups of any size.
+
+Equal values are counted before the shuffle, the counts are summed up in the order of the
+values by distributed running totals, and the one or two middle values are picked. No task
+holds the rows of a group, however hot its key, and null is a key like any other.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
-
-from parcelflow.session import materialize
-
-# Spark's exact median keeps a value -> count map per group: fine up to this size.
-MAX_GROUP_ROWS = 1_000_000
-# Narrowing state and group lists are broadcast up to this many rows.
-MAX_BROADCAST_ROWS = 200_000
-_BUCKETS = 4096
-
-
-@dataclass(frozen=True)
-class GroupSizes:
-    groups: int
-    largest: int
 
-
-def group_sizes(df: DataFrame, key: str) -> GroupSizes:
-    """Number of groups and rows of the largest one: one scan of the key column."""
-    counted = df.groupBy(key).agg(F.count("*").alias("n"))
-    row = counted.agg(F.count("*").alias("groups"), F.max("n").alias("largest")).first()
-    return GroupSizes(row["groups"], row["largest"] or 0)
-
-
-def exact_group_medians(
-    df: DataFrame,
-    key: str,
-    values: Sequence[str],
-    sizes: GroupSizes | None = None,
-    max_group_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
-    """One row per ``key`` with the linearly interpolated median of each value column.
-
-    Groups up to ``max_group_rows`` use the built-in exact median. Larger groups are
-    narrowed by histograms until each median is a single value, so no task ever
-    holds such a group.
-    """
-    sizes = sizes or group_sizes(df, key)
-    if sizes.largest <= max_group_rows:
-        return _built_in(df, key, values)
-    hot = (
-        df.groupBy(key)
-        .agg(F.count("*").alias("_rows"))
-        .where((F.col("_rows") > max_group_rows) & F.col(key).isNotNull())
-        .select(key)
+from parcelflow.operators.prefix import running_totals
+
+
+def _median(df: DataFrame, key: str, value: str) -> DataFrame:
+    rows = df.select(F.col(key).alias("_key"), F.col(value).cast("double").alias("_value"))
+    counts = rows.groupBy("_key", "_value").agg(F.count("_value").alias("n"))
+    placed = running_totals(counts, ["_value"], ["n"], ["_key"])
+    sizes = counts.groupBy(F.col("_key").alias("_of")).agg(F.sum("n").alias("size"))
+    # Ranks of the lower and the upper middle, from 0; the same for an odd size.
+    lower, upper = F.expr("(size - 1) div 2"), F.expr("size div 2")
+    holds = lambda rank: (F.col("n_before") <= rank) & (rank < F.col("n_before") + F.col("n"))
+    middle = placed.join(sizes, F.col("_key").eqNullSafe(F.col("_of")))
+    return middle.groupBy("_of").agg(
+        (
+            (
+                F.max(F.when(holds(lower), F.col("_value")))
+                + F.max(F.when(holds(upper), F.col("_value")))
+            )
+            / 2
+        ).alias(value)
     )
-    hot = _small(materialize(hot))
-    usual = _built_in(df.join(hot, key, "left_anti"), key, values)
-    large = _by_narrowing(df.join(hot, key, "left_semi"), key, values)
-    return usual.unionByName(large)
-
-
-def _built_in(df: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
-    return df.groupBy(key).agg(*[F.median(F.col(v).cast("double")).alias(v) for v in values])
-
-
-def _small(df: DataFrame) -> DataFrame:
-    """Broadcast when the counted size allows it, else leave the join to Spark."""
-    return F.broadcast(df) if df.count() <= MAX_BROADCAST_ROWS else df
 
 
-def _by_narrowing(df: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
-    """Selection by repeated equal-width histograms between the known bounds.
+def exact_group_medians(df: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
+    """One row per key with the median of each column in ``values`` as a double.
 
-    A search is (key, measure, rank, low, high): the wanted value is the rank-th of
-    the rows of that key between low and high. Low and high are real values, and they
-    fall into different buckets, so each round shrinks every open search.
+    Nulls are ignored (a group of nulls has a null median), an even count gives the mean of
+    the two middle values, infinities are values and NaN is the largest.
     """
-    group = [key, "measure"]
-    pairs = ", ".join(f"'{v}', cast(`{v}` as double)" for v in values)
-    rows = df.selectExpr(f"`{key}`", f"stack({len(values)}, {pairs}) as (measure, value)").where(
-        F.col("value").isNotNull()
-    )
-    bounds = rows.groupBy(*group).agg(
-        F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
-    )
-    middle = F.array_distinct(F.array(F.expr("(n - 1) div 2"), F.expr("n div 2")))
-    searches = bounds.select(
-        *group, F.explode(middle).alias("wanted"), "low", "high"
-    ).withColumn("rank", F.col("wanted"))
-    search = [*group, "wanted"]
-    found = None
-    while True:
-        searches = materialize(searches)
-        done = searches.where(F.col("low") == F.col("high"))
-        found = done if found is None else found.unionByName(done)
-        open_searches = searches.where(F.col("low") < F.col("high"))
-        if open_searches.isEmpty():
-            break
-        share = (F.col("value") - F.col("low")) / (F.col("high") - F.col("low"))
-        histogram = (
-            rows.join(_small(open_searches), group)
-            .where(F.col("value").between(F.col("low"), F.col("high")))
-            .withColumn("bucket", F.floor(share * _BUCKETS))
-            .groupBy(*search, "rank", "bucket")
-            .agg(
-                F.count("*").alias("n"),
-                F.min("value").alias("low"),
-                F.max("value").alias("high"),
-            )
-        )
-        # At most _BUCKETS + 1 rows per search.
-        lower = W.partitionBy(*search).orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-        searches = (
-            histogram.withColumn("below", F.coalesce(F.sum("n").over(lower), F.lit(0)))
-            .where(
-                (F.col("below") <= F.col("rank")) & (F.col("rank") < F.col("below") + F.col("n"))
-            )
-            .select(*search, "low", "high", (F.col("rank") - F.col("below")).alias("rank"))
-        )
-    return found.groupBy(key).agg(
-        *[F.avg(F.when(F.col("measure") == v, F.col("low"))).alias(v) for v in values]
+    each = [_median(df, key, value) for value in values]
+    joined = reduce(
+        lambda a, b: a.withColumnRenamed("_of", "_first")
+        .join(b, F.col("_first").eqNullSafe(F.col("_of")))
+        .drop("_first"),
+        each,
     )
+    return joined.select(F.col("_of").alias(key), *values)

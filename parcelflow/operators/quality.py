@@ -91,7 +91,9 @@ def cast_violations(raw: DataFrame, table: Table) -> DataFrame:
         checks[f"castable:{column.name}"] = (
             cleaned.isNotNull() & cleaned.try_cast(column.type).isNull()
         )
-    return _labelled(one_pass_counts(raw, checks), table.name) if checks else None
+    if not checks:
+        return _labelled(one_pass_counts(raw, {"castable": F.lit(False)}), table.name).limit(0)
+    return _labelled(one_pass_counts(raw, checks), table.name)
 
 
 def row_count_mismatches(counts: DataFrame, expected: DataFrame) -> DataFrame:

@@ -14,29 +14,23 @@ from parcelflow.functions import (
     hours_between,
     kilometres,
 )
-from parcelflow.operators.medians import MAX_BROADCAST_ROWS, exact_group_medians, group_sizes
+from parcelflow.operators.medians import exact_group_medians
 from parcelflow.schemas import FEATURE_COLUMNS, MONEY
 
-# Orders up to this many items may be gathered: their values fit easily in a task.
-MAX_ITEMS_IN_A_SET = 10_000
-
 PAYMENT_TYPES = ("credit_card", "boleto", "voucher", "debit_card")
 
 
 def zip_centroids(geolocation: DataFrame) -> DataFrame:
     """Median latitude and longitude per zip prefix, taken independently.
 
-    The zip prefixes are counted first: the count decides how the medians are taken
-    and whether the result is small enough to broadcast.
+    Adaptive execution decides whether the result is small enough to broadcast.
     """
     zips = geolocation.select(
         F.col("geolocation_zip_code_prefix").alias("zip_code_prefix"),
         F.col("geolocation_lat").cast("double").alias("latitude"),
         F.col("geolocation_lng").cast("double").alias("longitude"),
     )
-    sizes = group_sizes(zips, "zip_code_prefix")
-    centroids = exact_group_medians(zips, "zip_code_prefix", ["latitude", "longitude"], sizes)
-    return F.broadcast(centroids) if sizes.groups <= MAX_BROADCAST_ROWS else centroids
+    return exact_group_medians(zips, "zip_code_prefix", ["latitude", "longitude"])
 
 
 def _located(df: DataFrame, zip_column: str, centroids: DataFrame, prefix: str) -> DataFrame:
@@ -63,14 +57,10 @@ def item_details(
     sellers: DataFrame,
     products: DataFrame,
     centroids: DataFrame,
-    cluster_by_order: bool = False,
 ) -> DataFrame:
     """Items with product, seller and customer attributes and the seller distance.
 
-    ``located`` comes from ``located_orders`` and has one row per order. With
-    ``cluster_by_order`` the one shuffle on the order id, which the join with the
-    orders needs anyway, also serves the aggregation that follows; use it only when
-    no order is large.
+    ``located`` comes from ``located_orders`` and has one row per order.
     """
     seller = _located(
         sellers.select("seller_id", "seller_state", "seller_zip_code_prefix"),
@@ -87,8 +77,6 @@ def item_details(
         .join(seller, "seller_id")
         .join(product, "product_id")
     )
-    if cluster_by_order:
-        described = described.repartition("order_id")
     return described.join(customer, "order_id").select(
         "order_id",
         "order_item_id",
@@ -124,27 +112,19 @@ def _average(column: str) -> Column:
     return (F.round(mean, 0) * F.lit(Decimal("0.01"))).cast(MONEY)
 
 
-def _distinct(column: str, small_groups: bool) -> Column:
-    """Number of different values, nulls ignored.
-
-    Sets of small groups need no further shuffle; a group of any size is counted by
-    Spark's distinct aggregation, which spreads its values.
-    """
-    counted = F.size(F.collect_set(column)) if small_groups else F.countDistinct(column)
-    return counted.cast("int")
-
+def _distinct(column: str) -> Column:
+    """Number of different values, nulls ignored; Spark spreads the values of a hot group."""
+    return F.countDistinct(column).cast("int")
 
-def item_features(details: DataFrame, small_orders: bool = False) -> DataFrame:
-    """Twelve aggregates per order; distinct counts ignore nulls.
 
-    ``small_orders`` promises that every order has at most MAX_ITEMS_IN_A_SET items.
-    """
+def item_features(details: DataFrame) -> DataFrame:
+    """Twelve aggregates per order; distinct counts ignore nulls."""
     return details.groupBy("order_id").agg(
         F.count("*").cast("int").alias("item_count"),
-        _distinct("product_id", small_orders).alias("distinct_product_count"),
-        _distinct("product_category_name", small_orders).alias("distinct_category_count"),
-        _distinct("seller_id", small_orders).alias("seller_count"),
-        _distinct("seller_state", small_orders).alias("distinct_seller_state_count"),
+        _distinct("product_id").alias("distinct_product_count"),
+        _distinct("product_category_name").alias("distinct_category_count"),
+        _distinct("seller_id").alias("seller_count"),
+        _distinct("seller_state").alias("distinct_seller_state_count"),
         F.bool_or(F.col("seller_state") != F.col("customer_state")).alias(
             "has_cross_state_seller"
         ),
@@ -157,11 +137,6 @@ def item_features(details: DataFrame, small_orders: bool = False) -> DataFrame:
     )
 
 
-def has_small_orders(order_items: DataFrame) -> bool:
-    """True when every order has at most MAX_ITEMS_IN_A_SET items, by counting them."""
-    return group_sizes(order_items, "order_id").largest <= MAX_ITEMS_IN_A_SET
-
-
 def order_item_features(
     order_items: DataFrame,
     located: DataFrame,
@@ -169,10 +144,8 @@ def order_item_features(
     products: DataFrame,
     centroids: DataFrame,
 ) -> DataFrame:
-    """``item_features`` of the located orders, planned by the size of the largest order."""
-    small = has_small_orders(order_items)
-    details = item_details(order_items, located, sellers, products, centroids, small)
-    return item_features(details, small)
+    """``item_features`` of the located orders."""
+    return item_features(item_details(order_items, located, sellers, products, centroids))
 
 
 def payment_features(order_payments: DataFrame) -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.operators.medians import MAX_BROADCAST_ROWS
 from parcelflow.plans.metrics import predicted_class
 from parcelflow.schemas import CATEGORICAL_INPUTS, NUMERIC_INPUTS
 from parcelflow.session import materialize
@@ -65,8 +64,6 @@ class CategoryRates:
                 (F.col("positives") + F.lit(_SMOOTHING * overall)) / (F.col("n") + _SMOOTHING)
             ).alias(f"{column}_rate"),
         )
-        if totals["k"] <= MAX_BROADCAST_ROWS:
-            rates = F.broadcast(rates)
         return cls(column, rates, overall)
 
     def apply(self, df: DataFrame) -> DataFrame:

@@ -160,6 +160,9 @@ def validate_split(dataset: DataFrame, assignment: DataFrame, config: SplitConfi
     """
     names = config.names
     assignment = assignment.select("order_id", "split")
+    others = assignment.where(~F.coalesce(F.col("split").isin(*names), F.lit(False))).first()
+    if others is not None:
+        raise SplitError(f"Orders are assigned to '{others['split']}', which is no split here.")
     present = {
         r["split"]: r["n"]
         for r in assignment.where(F.col("split").isin(*names))

@@ -52,7 +52,9 @@ class Lake:
         return f"{self.root.rstrip('/')}/run={run_id}/{layer}/{table}"
 
     def write(self, df: DataFrame, run_id: str, layer: str, table: str) -> DataFrame:
-        """Replace the table of this run and return it as read back."""
+        """Replace the table of a run that is not published yet and return it as read back."""
+        if self.is_published(run_id):
+            raise ValueError(f"The run '{run_id}' is published and can't be written again.")
         path = self.path(run_id, layer, table)
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
@@ -82,6 +84,10 @@ class Lake:
             F.max_by("run_id", F.struct("sequence", "published_at", "run_id")).alias("run_id"),
         ).first()
 
+    def is_published(self, run_id: str) -> bool:
+        log = read_if_exists(self.spark, self._log, _LOG_SCHEMA)
+        return log is not None and not log.where(F.col("run_id") == run_id).isEmpty()
+
     def current_run(self) -> str | None:
         entry = self._last_entry()
         return entry["run_id"] if entry else None

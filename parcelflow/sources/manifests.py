@@ -55,7 +55,7 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame | None:
             return None
         raise
     entries = text.select(
-        F.explode(F.from_json("value", "map<string,map<string,string>>")).alias("file_id", "file")
+        F.explode(F.from_json("value", "map<string,map<string,string>>", {"mode": "FAILFAST"})).alias("file_id", "file")
     )
     return entries.select("file_id", F.explode("file").alias("key", "value"))
 
@@ -373,11 +373,14 @@ def compare_manifests(benchmark: DataFrame | None, other: DataFrame | None) -> b
 
 
 def table_fingerprint(df: DataFrame) -> DataFrame:
-    """One row (row_count, content_hash) that ignores row order but keeps duplicates."""
+    """One row (row_count, content_hash) that ignores row order but keeps duplicates.
+
+    The hash skips nulls, so it also gets where they are."""
+    nulls = [F.col(f"`{c}`").isNull() for c in df.columns]
     return df.agg(
         F.count("*").alias("row_count"),
         F.coalesce(
-            F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")),
+            F.sum(F.xxhash64(*nulls, *df.columns).cast("decimal(38,0)")),
             F.lit(0).cast("decimal(38,0)"),
         ).alias("content_hash"),
     )

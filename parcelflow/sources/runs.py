@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from parcelflow.sources.lake import read_if_exists
 
-_TABLES = ("runs", "metrics", "predictions", "input_types")
+_INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
 
 
 def _path(root: str, table: str) -> str:
@@ -17,11 +17,9 @@ def _path(root: str, table: str) -> str:
 
 
 def run_exists(spark: SparkSession, root: str, run_id: str) -> bool:
-    for table in _TABLES:
-        rows = read_if_exists(spark, _path(root, table))
-        if rows is not None and not rows.where(F.col("run_id") == run_id).isEmpty():
-            return True
-    return False
+    """Only the table of runs decides: it is written last."""
+    rows = read_if_exists(spark, _path(root, "runs"), "name string, value string, run_id string")
+    return rows is not None and not rows.where(F.col("run_id") == run_id).isEmpty()
 
 
 def record_run(
@@ -49,7 +47,9 @@ def record_run(
         return spark.range(1).select(named, F.inline(F.array(*rows)))
 
     def append(df: DataFrame, table: str) -> None:
-        df.write.mode("append").partitionBy("run_id").parquet(_path(root, table))
+        # Replaces what a crash left of this run, and nothing of other runs.
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("run_id").parquet(_path(root, table))
 
     append(predictions.select(named, *predictions.columns), "predictions")
     append(metrics.select(named, "metric", "value"), "metrics")
@@ -58,4 +58,10 @@ def record_run(
 
 
 def read_runs(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return spark.read.parquet(_path(root, table))
+    """A table of all runs; run ids stay text, whatever they look like."""
+    before = spark.conf.get(_INFERENCE)
+    spark.conf.set(_INFERENCE, "false")
+    try:
+        return spark.read.parquet(_path(root, table))
+    finally:
+        spark.conf.set(_INFERENCE, before)

@@ -15,7 +15,8 @@ def _folder(root: str, split_id: str) -> str:
 
 def split_exists(spark: SparkSession, root: str, split_id: str) -> bool:
     try:
-        spark.read.parquet(f"{_folder(root, split_id)}/members")
+        # The metadata are written last: without them the split was never finished.
+        spark.read.text(f"{_folder(root, split_id)}/metadata")
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return False
@@ -33,7 +34,7 @@ def save_split(
         return False
     folder = _folder(root, config.split_id)
     members = assignment.select("order_id", "split")
-    members.write.mode("errorifexists").partitionBy("split").parquet(f"{folder}/members")
+    members.write.mode("overwrite").partitionBy("split").parquet(f"{folder}/members")
     sizes = split_sizes(dataset.count(), config)
     metadata = spark.range(1).select(
         F.lit(config.split_id).alias("split_id"),

@@ -25,22 +25,6 @@ def test_query_equals_sql(spark, database, name):
     assert compare(QUERIES[name](spark, FOLDER), database, ORACLES[name]) is None
 
 
-def test_large_orders_give_the_same_features(spark, database, monkeypatch):
-    from parcelflow.plans import features
-
-    monkeypatch.setattr(features, "MAX_ITEMS_IN_A_SET", 1)
-    got = QUERIES["order_features"](spark, FOLDER)
-    assert compare(got, database, ORACLES["order_features"]) is None
-
-
-def test_hot_zips_give_the_same_centroids(spark, database, monkeypatch):
-    from parcelflow.operators import medians
-
-    monkeypatch.setattr(medians.exact_group_medians, "__defaults__", (None, 10))
-    got = QUERIES["zip_centroid_median"](spark, FOLDER)
-    assert compare(got, database, ORACLES["zip_centroid_median"]) is None
-
-
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -61,12 +45,6 @@ def test_reports_read_only_their_columns(spark):
     assert "o_totalprice" not in text
 
 
-def test_small_orders_need_one_shuffle_on_the_order_id(spark):
-    text = plan(QUERIES["item_features"](spark, FOLDER))
-    assert "Expand" not in text
-    assert text.count("REPARTITION_BY_COL") == 1
-
-
 def test_entry(spark):
     import __spark_entry__ as entry
 

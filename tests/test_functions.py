@@ -125,3 +125,10 @@ def test_outcomes(spark, status, approved, delivered, group, non_delivery, late)
         .first()
     )
     assert (row["g"], row["n"], row["l"]) == (group, non_delivery, late)
+
+
+def test_kilometres_round_once(spark):
+    from parcelflow.functions.scalars import kilometres
+
+    df = spark.createDataFrame([(0.124999999999999,), (0.125,)], "d double")
+    assert [str(r[0]) for r in df.select(kilometres(F.col("d"))).collect()] == ["0.12", "0.13"]

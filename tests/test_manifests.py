@@ -245,3 +245,11 @@ def test_fingerprint_ignores_order_but_not_duplicates(spark):
     assert first == m.table_fingerprint(same).first()
     assert first != m.table_fingerprint(fewer).first()
     assert m.table_fingerprint(a.limit(0)).first()["row_count"] == 0
+
+
+def test_fingerprint_sees_where_nulls_are(spark):
+    left = spark.createDataFrame([(1, None)], "a int, b int")
+    right = spark.createDataFrame([(None, 1)], "a int, b int")
+    from parcelflow.sources.manifests import table_fingerprint
+
+    assert table_fingerprint(left).first() != table_fingerprint(right).first()

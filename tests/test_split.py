@@ -140,3 +140,12 @@ def test_load_needs_the_split_and_its_members(dataset, spark, tmp_path):
     save_split(str(tmp_path), dataset, chronological_split(dataset, final), final)
     with pytest.raises(SplitError, match="validation"):
         load_split(str(tmp_path), dataset, CONFIG)
+
+
+def test_splits_outside_the_config_are_refused(spark):
+    from parcelflow.plans.split import SplitError, final_evaluation_split, validate_split
+
+    rows = [(str(i), i % 2, s) for i, s in enumerate(["train", "train", "validation", "validation", "test", "test"])]
+    df = spark.createDataFrame(rows, "order_id string, target int, split string")
+    with pytest.raises(SplitError, match="validation"):
+        validate_split(df, df, final_evaluation_split("non_delivery"))
