@@ -12,7 +12,7 @@ segment, each with how many URLs rules blocked and allowed there.
    purity as a prior. A URL that no rule fits is blocked where the purity of its
    template is ``REJECT`` or more.
 
-Levels below the sixth segment share one ``*``. Counts are combined before every shuffle.
+Levels below the fourth segment share one ``*``. Counts are combined before every shuffle.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ RULES = (
     ("com/fr/", "allow"),
     ("com/de/", "block"),
 )
-DEPTH = 6
+DEPTH = 4
 #: Children are variable from so many on, if so large a share of the URLs has its own.
 VARIABLE_CHILDREN, VARIABLE_SHARE = 8, 0.5
 PRIOR = 10.0
@@ -81,8 +81,7 @@ def template_purity(urls: DataFrame) -> DataFrame:
     ways = _levels(urls).groupBy(*names).agg(
         F.count("*").alias("n"), F.count("verdict").alias("known"), blocked.alias("blocked")
     )
-    for name in names:
-        ways = ways.withColumn(f"t{name[1:]}", F.col(name))
+    ways = write_table(ways.select("*", *[F.col(x).alias(f"t{x[1:]}") for x in names]))
     done = [f"t{k}" for k in range(2)]
     for k in range(2, DEPTH + 3):
         here = f"t{k}"
@@ -91,33 +90,30 @@ def template_purity(urls: DataFrame) -> DataFrame:
         variable = (F.col("kinds") >= VARIABLE_CHILDREN) & (
             F.col("kinds") > VARIABLE_SHARE * F.col("all")
         )
-        ways = (
+        # Written at every level: the plan of a level must not hold all those above it.
+        ways = write_table(
             ways.join(fanout, done)
             .withColumn(here, F.when(variable, F.lit("*")).otherwise(F.col(here)))
             .drop("kinds", "all")
         )
         done.append(here)
-    ways = write_table(ways)
 
     total = ways.agg(F.sum("blocked").alias("b"), F.sum("known").alias("k"))
     purity = total.select(
         ((F.coalesce("b", F.lit(0)) + PRIOR / 2) / (F.coalesce("k", F.lit(0)) + PRIOR)).alias("purity")
     )
     # One row: the root of the tree.
-    nodes = ways.select(done[0]).distinct().crossJoin(F.broadcast(purity))
+    nodes = write_table(purity)
     keys: list[str] = []
     for here in done:
-        counts = ways.groupBy(*keys, here).agg(
-            F.sum("blocked").alias("b"), F.sum("known").alias("k")
-        )
-        above = nodes.select(*keys, F.col("purity").alias("prior")).distinct() if keys else None
-        joined = counts.join(above, keys) if keys else counts.crossJoin(F.broadcast(purity.withColumnRenamed("purity", "prior")))
+        counts = ways.groupBy(*keys, here).agg(F.sum("blocked").alias("b"), F.sum("known").alias("k"))
+        above = nodes.withColumnRenamed("purity", "prior")
+        joined = counts.join(above, keys) if keys else counts.crossJoin(F.broadcast(above))
         smoothed = (F.col("b") + PRIOR * F.col("prior")) / (F.col("k") + PRIOR)
         error = F.sqrt(F.col("prior") * (1 - F.col("prior")) / F.greatest("k", F.lit(1)))
         alike = F.abs(F.col("b") / F.greatest("k", F.lit(1)) - F.col("prior")) <= 2 * error
-        nodes = joined.select(
-            *keys, here, F.when((F.col("k") == 0) | alike, F.col("prior")).otherwise(smoothed).alias("purity")
-        )
+        purer = F.when((F.col("k") == 0) | alike, F.col("prior")).otherwise(smoothed)
+        nodes = write_table(joined.select(*keys, here, purer.alias("purity")))
         keys.append(here)
     template = F.concat_ws("/", *done[1:])
     return ways.join(nodes, done).select(*names, F.rtrim(template, F.lit("/")).alias("template"), "purity")
