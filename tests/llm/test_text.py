@@ -21,11 +21,15 @@ def test_article_without_chrome():
     )
 
 
-@pytest.mark.parametrize("page", [None, "", "<", "<div", "<!--", "<p></p>", "</b></i>"])
+@pytest.mark.parametrize("page", [None, "", "<div", "<!--", "<p></p>", "</b></i>"])
 def test_pages_without_text(page):
     assert html.main_text(page) == ""
 
 
+def test_a_lone_bracket_is_text():
+    assert html.main_text("<") == "<" and html.main_text("<p>1 < 2") == "1 < 2"
+
+
 def test_pages_are_read_whole_and_deep():
     assert len(html.main_text("<article>" + "<p>word word</p>" * 50_000)) == 10 * 50_000 - 1
     assert html.main_text("<div>" * 5000 + "deep") == "deep"
