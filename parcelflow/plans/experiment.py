@@ -25,8 +25,9 @@ from parcelflow.sources.splits import load_split, save_split
 
 def create_split(lake: Lake, split_root: str, task: str, config: SplitConfig) -> bool:
     """Split the published dataset of ``task`` and store it; False if the id exists."""
-    dataset = published_model_dataset(lake, task).select(
-        "order_id", "order_approved_at", "target"
+    # Split, checks and counts scan these rows many times: run the join behind them once.
+    dataset = materialize(
+        published_model_dataset(lake, task).select("order_id", "order_approved_at", "target")
     )
     assignment = chronological_split(dataset, config).select("order_id", "split")
     return save_split(split_root, dataset, assignment, config)
@@ -48,7 +49,9 @@ def optimization_run(
     if not split_config.validation_fraction:
         raise ValueError("The optimisation run needs validation rows.")
     dataset = published_model_dataset(lake, task)
-    members = load_split(split_root, dataset.select("order_id", "target"), split_config)
+    # The checks of the split scan these rows many times.
+    labelled = materialize(dataset.select("order_id", "target"))
+    members = load_split(split_root, labelled, split_config)
     rows = materialize(
         model_inputs(dataset, keep=("order_id", "target"))
         .join(members, "order_id")

@@ -47,7 +47,6 @@ class Table:
     key: tuple[str, ...] = ()
     references: tuple[Reference, ...] = ()
     binary_flags: tuple[str, ...] = field(default=())
-    free_text: bool = False
 
     @property
     def required_columns(self) -> list[str]:
@@ -187,7 +186,6 @@ ORDER_REVIEWS = Table(
         Column("review_answer_timestamp", TIMESTAMP),
     ),
     references=(_refers("order_id", "orders"),),
-    free_text=True,
 )
 
 STAGING: dict[str, Table] = {

@@ -5,13 +5,14 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator, Mapping
 from functools import reduce
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.schemas import DATASET_FILES, STAGING
+from parcelflow.schemas import DATASET_FILES
 from parcelflow.sources.raw_csv import raw_path
 
 # The keys of a file entry, and those that two manifests may differ in.
@@ -32,8 +33,6 @@ IGNORED_KEYS = ("download_date", "file_path")
 DATASET_ENTRY = "dataset_metadata"
 
 BENCHMARK, TEMPORARY = "benchmark", "temporary"
-# Files up to this size are hashed by Spark as one value; larger ones are streamed.
-MAX_HASH_IN_MEMORY = 256 * 1024 * 1024
 
 
 class ManifestError(ValueError):
@@ -46,7 +45,8 @@ class ManifestError(ValueError):
 def read_manifest(spark: SparkSession, path: str) -> DataFrame | None:
     """Rows (file_id, key, value) of a JSON object of objects; None when absent.
 
-    Values keep their JSON text, so numbers and lists compare exactly.
+    Values keep their JSON text with its type, so 5 and "5" differ. A file that is no such
+    object, a cut one for instance, fails the read.
     """
     try:
         text = spark.read.text(path, wholetext=True)
@@ -55,17 +55,30 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame | None:
             return None
         raise
     entries = text.select(
-        F.explode(F.from_json("value", "map<string,map<string,string>>", {"mode": "FAILFAST"})).alias("file_id", "file")
+        F.explode(
+            F.from_json("value", "map<string,map<string,variant>>", {"mode": "FAILFAST"})
+        ).alias("file_id", "file")
     )
-    return entries.select("file_id", F.explode("file").alias("key", "value"))
+    return entries.select("file_id", F.explode("file").alias("key", "value")).select(
+        "file_id", "key", F.to_json("value").alias("value")
+    )
+
+
+def _json_text(value: Column) -> Column:
+    """One value as JSON text: that of an array of it, without the brackets."""
+    listed = F.to_json(F.array(value), {"ignoreNullFields": "false"})
+    return F.substring(listed, F.lit(2), F.length(listed) - 2)
 
 
 def manifest_table(entries: DataFrame) -> DataFrame:
     """Typed rows, one per file, from (file_id, key, value) entries."""
 
-    def value(key: str):
+    def text(key: str):
         return F.max(F.when(F.col("key") == key, F.col("value")))
 
+    def value(key: str):
+        return F.variant_get(F.parse_json(text(key)), "$", "string")
+
     return (
         entries.where(F.col("file_id") != DATASET_ENTRY)
         .groupBy("file_id")
@@ -80,7 +93,7 @@ def manifest_table(entries: DataFrame) -> DataFrame:
             value("dataset_created").alias("dataset_created"),
             value("column_count").cast("int").alias("column_count"),
             value("row_count").cast("bigint").alias("row_count"),
-            F.from_json(value("column_names"), "array<string>").alias("column_names"),
+            F.from_json(text("column_names"), "array<string>").alias("column_names"),
         )
     )
 
@@ -88,24 +101,20 @@ def manifest_table(entries: DataFrame) -> DataFrame:
 def manifest_entries(table: DataFrame) -> DataFrame:
     """(file_id, key, value) entries from typed rows, dataset entry included."""
     pairs = [
-        F.struct(
-            F.lit(k).alias("key"),
-            (F.to_json(k) if k == "column_names" else F.col(k).cast("string")).alias("value"),
-        )
-        for k in FILE_KEYS
+        F.struct(F.lit(k).alias("key"), _json_text(F.col(k)).alias("value")) for k in FILE_KEYS
     ]
     files = table.select("file_id", F.inline(F.array(*pairs)))
     dataset = table.agg(
         F.max("dataset").alias("dataset_name"),
-        F.max("dataset_version").cast("string").alias("dataset_version"),
+        F.max("dataset_version").alias("dataset_version"),
     ).select(
         F.lit(DATASET_ENTRY).alias("file_id"),
         F.inline(
             F.array(
-                F.struct(F.lit("dataset_name").alias("key"), F.col("dataset_name").alias("value")),
-                F.struct(
-                    F.lit("dataset_version").alias("key"), F.col("dataset_version").alias("value")
-                ),
+                *[
+                    F.struct(F.lit(k).alias("key"), _json_text(F.col(k)).alias("value"))
+                    for k in ("dataset_name", "dataset_version")
+                ]
             )
         ),
     )
@@ -149,38 +158,40 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _stream_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
+def file_hashes(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows (path, sha256). Files are hashed in parallel, each read in pieces of constant
+    size. Spark does not list empty files."""
 
-    for batch in batches:
-        digests = []
-        for path in batch["path"]:
-            uri = path.replace("file:/", "file:///", 1) if path.startswith("file:/") else path
-            system, local = fs.FileSystem.from_uri(uri)
-            digest = hashlib.sha256()
-            with system.open_input_stream(local) as stream:
-                while chunk := stream.read(1024 * 1024):
-                    digest.update(chunk)
-            digests.append(digest.hexdigest())
-        yield pd.DataFrame({"path": batch["path"], "sha256": digests})
+    # Nested, so that tasks get the function itself and need no copy of the package.
+    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
 
+        def opened(path: str):
+            scheme, _, rest = path.partition(":")
+            if scheme == "file":
+                return fs.LocalFileSystem().open_input_stream("/" + rest.lstrip("/"))
+            scheme = "s3" if scheme in ("s3a", "s3n") else scheme
+            system, inner = fs.FileSystem.from_uri(f"{scheme}:{quote(rest)}")
+            return system.open_input_stream(inner)
 
-def file_hashes(
-    spark: SparkSession, folder: str, in_memory_limit: int = MAX_HASH_IN_MEMORY
-) -> DataFrame:
-    """Rows (path, sha256), files in parallel; large files in constant memory."""
-    files = spark.read.format("binaryFile").load(folder)
-    small = files.where(F.col("length") <= in_memory_limit).select(
-        "path", F.sha2("content", 256).alias("sha256")
-    )
-    large = files.where(F.col("length") > in_memory_limit).select("path")
-    return small.unionByName(large.mapInPandas(_stream_hashes, "path string, sha256 string"))
+        for batch in batches:
+            digests = []
+            for path in batch["path"]:
+                digest = hashlib.sha256()
+                with opened(path) as stream:
+                    while chunk := stream.read(1024 * 1024):
+                        digest.update(chunk)
+                digests.append(digest.hexdigest())
+            yield pd.DataFrame({"path": batch["path"], "sha256": digests})
+
+    paths = spark.read.format("binaryFile").load(folder).select("path")
+    return paths.mapInPandas(hashed, "path string, sha256 string")
 
 
 def csv_shapes(spark: SparkSession, folder: str) -> DataFrame:
     """Rows (file_name, column_count, row_count, column_names) of the expected tables.
 
-    Rows are parsed records, not lines. Only the first field of each is parsed.
+    Rows are parsed records, not lines: any table may have line breaks in quotes.
     """
     shapes = []
     for name, file_name in DATASET_FILES.items():
@@ -189,7 +200,7 @@ def csv_shapes(spark: SparkSession, folder: str) -> DataFrame:
             header=True,
             quote='"',
             escape='"',
-            multiLine=STAGING[name].free_text,
+            multiLine=True,
         )
         header = table.columns
         counted = table.agg(F.count("*").alias("row_count"))

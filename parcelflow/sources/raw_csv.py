@@ -15,14 +15,15 @@ def read_raw(
     spark: SparkSession,
     path: str | list[str],
     table: Table | str,
-    multi_line: bool | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Read one table as text: header checked, doubled quotes, malformed rows fail.
 
-    ``path`` may be a file, a folder of part files or a list. A file that may hold
-    line breaks inside quotes cannot be cut into ranges, so only tables with free text
-    are read whole-file; the others scan in parallel. Pass ``multi_line=True`` when
-    another table has such values: without it they fail the read, never pass silently.
+    ``path`` may be a file, a folder of part files or a list. Any table may hold line
+    breaks inside quotes, and a file with such values cannot be cut into ranges: files are
+    read in parallel, each by one task. Pass ``multi_line=False`` only for files known to
+    have one record per line: they scan in ranges, but a quoted line break becomes two
+    records there.
     """
     table = STAGING[table] if isinstance(table, str) else table
     return spark.read.csv(
@@ -33,7 +34,7 @@ def read_raw(
         encoding="UTF-8",
         quote='"',
         escape='"',
-        multiLine=table.free_text if multi_line is None else multi_line,
+        multiLine=multi_line,
         mode="FAILFAST",
     )
 

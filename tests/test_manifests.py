@@ -4,11 +4,12 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from fixture_tables import write_tables
+from fixture_tables import ROWS, write_tables
 from parcelflow.schemas import DATASET_FILES
 from parcelflow.plans.ingest import validated_ingestion
 from parcelflow.sources import manifests as m
 from parcelflow.sources.lake import Lake
+from parcelflow.sources.raw_csv import raw_path, read_raw
 
 
 def write_raw(folder):
@@ -55,10 +56,13 @@ def test_build(raw, manifest):
     assert row["dataset_created"] == "2021-10-01"
 
 
-def test_large_files_stream_to_the_same_hash(spark, raw):
-    whole = {tuple(r) for r in m.file_hashes(spark, str(raw)).collect()}
-    streamed = {tuple(r) for r in m.file_hashes(spark, str(raw), in_memory_limit=10).collect()}
-    assert whole == streamed and len(whole) == 9
+def test_hashes_of_files_with_awkward_names(spark, tmp_path):
+    content = {"a b.bin": b"x" * 3_000_000, "50%25.bin": b"z", "c#d.bin": b"y"}
+    (tmp_path / "empty.bin").touch()
+    for name, data in content.items():
+        (tmp_path / name).write_bytes(data)
+    found = sorted(r["sha256"] for r in m.file_hashes(spark, str(tmp_path)).collect())
+    assert found == sorted(hashlib.sha256(data).hexdigest() for data in content.values())
 
 
 def test_listing_must_agree(spark, raw):
@@ -191,6 +195,28 @@ def test_json_manifest_gives_typed_rows_and_back(spark, tmp_path):
     assert m.manifest_differences(read, again).count() == 0
 
 
+def test_cut_manifest_fails(spark, tmp_path):
+    path = tmp_path / "cut.json"
+    path.write_text(json.dumps({"orders": FILE})[:-20])
+    with pytest.raises(Exception, match="MALFORMED"):
+        m.read_manifest(spark, str(path)).collect()
+
+
+def test_line_breaks_in_quotes_of_any_table(spark, tmp_path):
+    """One record each, for the reader and for the counted rows."""
+    broken = {}
+    for name, values in ROWS.items():
+        broken[name] = [",".join([*values[:-1], f'"{values[-1]}\n{",".join(values)}"'])]
+    folder = write_tables(tmp_path / "raw", extra=broken)
+    counted = {r["file_name"]: r["row_count"] for r in m.csv_shapes(spark, folder).collect()}
+    assert counted == {file: 2 for file in DATASET_FILES.values()}
+    for name, values in ROWS.items():
+        rows = read_raw(spark, raw_path(folder, name), name).collect()
+        assert sorted(r[-1] for r in rows) == sorted(
+            [values[-1], f'{values[-1]}\n{",".join(values)}']
+        )
+
+
 def test_absent_manifest_is_none(spark, tmp_path):
     assert m.read_manifest(spark, str(tmp_path / "no.json")) is None
     assert m.compare_manifests(None, entries(spark, tmp_path, "a.json")) is False
@@ -218,6 +244,7 @@ def test_equal_manifests_may_differ_in_date_and_path(spark, tmp_path):
         {"column_names": ["order_id"]},
         {"column_names": ["customer_id", "order_id"]},
         {"row_count": None},
+        {"row_count": "2"},
     ],
 )
 def test_different_values(spark, tmp_path, change):
