@@ -48,12 +48,13 @@ class Network:
     @staticmethod
     def laid_out(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Texts one after the other, each filled up with zero bytes to whole blocks, and
-        where each text's blocks begin. Windows never reach into the next text."""
+        where each text's blocks begin. The zeros before a text are as many as a window of the
+        text before it can reach, so a score never depends on a neighbour."""
         size = np.diff(offsets)
         blocks = -(-(size + WIDTH - 1) // BLOCK)
         first = np.append(0, np.cumsum(blocks))
         out = np.zeros(first[-1] * BLOCK + WIDTH - 1, np.uint8)
-        move = np.repeat(first[:-1] * BLOCK - offsets[:-1], size)
+        move = np.repeat(first[:-1] * BLOCK + WIDTH - 1 - offsets[:-1], size)
         out[np.arange(len(data)) + move] = data
         return out, first
 
@@ -112,7 +113,10 @@ class Network:
         g["w1"], g["b1"] = x.T @ d, d.sum(0)
         d = d @ self.p["w1"].T
         wins = (active == top[text]) & (active > 0)
-        each = (d[:, :FILTERS] / count)[text] + d[:, FILTERS:][text] * wins
+        # Chunks that tie for the highest share what it gets.
+        ties = np.zeros_like(top)
+        np.add.at(ties, text, wins)
+        each = (d[:, :FILTERS] / count)[text] + (d[:, FILTERS:] / np.maximum(ties, 1))[text] * wins
         each = each * (pooled + self.p["shift"] > 0)
         g["shift"] = each.sum(0)
         # The byte where each chunk's highest response begins.
@@ -184,7 +188,7 @@ def _score(network: Network, text: str, name: str, keep_text: bool):
 
 def training_rows(df: DataFrame, labels: DataFrame, id_column: str, text: str) -> DataFrame:
     """``text`` and ``quality`` of at most ``MOST_ROWS`` labelled rows outside the held-out
-    fifth. The bounded labels are broadcast, so no text is shuffled."""
+    fifth, however often ids repeat. The bounded labels are broadcast, so no text is shuffled."""
     outside = F.crc32(F.col(id_column).cast("string")) % 5 != 0
     chosen = (
         labels.where(outside & F.col("quality").isin(0, 1))
@@ -193,7 +197,8 @@ def training_rows(df: DataFrame, labels: DataFrame, id_column: str, text: str) -
         .limit(MOST_ROWS)
     )
     rows = df.select(F.col(id_column).alias("_id"), F.col(text).alias("_text"))
-    return rows.join(F.broadcast(chosen), "_id").orderBy(F.xxhash64("_id"), "_id", "quality", "_text")
+    order = (F.xxhash64("_id"), "_id", "quality", "_text")
+    return rows.join(F.broadcast(chosen), "_id").orderBy(*order).limit(MOST_ROWS)
 
 
 def fit(df: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text") -> Network:
