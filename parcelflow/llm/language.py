@@ -163,17 +163,17 @@ def identified(
     def sums(*keys: str) -> DataFrame:
         return seen.groupBy(*keys).agg(each(lambda k: F.sum(F.get("share", F.lit(k)))).alias("sums"))
 
-    def with_prior(counts: DataFrame, prior: DataFrame, keys: list[str]) -> DataFrame:
-        joined = counts.join(prior, keys) if keys else counts.crossJoin(F.broadcast(prior))
-        whole = F.aggregate("sums", F.lit(0.0), lambda a, x: a + x)
-        shares = F.zip_with("sums", "prior", lambda s, p: (s + PRIOR * p) / (whole + PRIOR))
-        return joined.withColumn("shares", shares)
-
-    even = F.array(*[F.lit(1.0 / n)] * n)
-    root = sums().withColumn("prior", even)
+    def known(row: list | None) -> list[float]:
+        return [x or 0.0 for x in row or [None] * n]
+
+    # One number a language: the shares of all rows.
+    of_all = known(sums().first()["sums"])
+    root = F.array(*[F.lit((s + PRIOR / n) / (sum(of_all) + PRIOR)) for s in of_all])
     whole = F.aggregate("sums", F.lit(0.0), lambda a, x: a + x)
-    root = root.select(F.transform("sums", lambda s: (s + PRIOR / n) / (whole + PRIOR)).alias("prior"))
-    suffixes = with_prior(sums("suffix"), root, []).select("suffix", F.col("shares").alias("prior"))
+    suffixes = sums("suffix").select(
+        "suffix",
+        F.zip_with("sums", root, lambda s, p: (s + PRIOR * p) / (whole + PRIOR)).alias("prior"),
+    )
     hosts = sums("suffix", "host").join(suffixes, "suffix").select(
         "host", F.col("sums").alias("host_sums"), F.col("prior").alias("suffix_prior")
     )
@@ -181,15 +181,16 @@ def identified(
     tags = sums("declared").where("declared IS NOT NULL").withColumn(
         "n_tag", F.aggregate("sums", F.lit(0.0), lambda a, x: a + x)
     )
-    all_tags = tags.agg(
-        F.sum("n_tag").alias("n_all"), each(lambda k: F.sum(F.get("sums", F.lit(k)))).alias("of_language")
-    )
-    declared = tags.crossJoin(F.broadcast(all_tags)).select(
+    tagged = seen.where("declared IS NOT NULL")
+    tagged = tagged.agg(each(lambda k: F.sum(F.get("share", F.lit(k)))).alias("sums")).first()
+    of_language = known(tagged["sums"])
+    by_chance = F.lit(PRIOR) * F.col("n_tag") / F.lit(sum(of_language) or 1.0)
+    declared = tags.select(
         F.col("declared").alias("tag"),
         F.zip_with(
             "sums",
-            "of_language",
-            lambda s, l: (s + PRIOR * F.col("n_tag") / F.col("n_all")) / (l + PRIOR),
+            F.array(*[F.lit(x) for x in of_language]),
+            lambda s, l: (s + by_chance) / (l + PRIOR),
         ).alias("by_tag"),
     )
     joined = (

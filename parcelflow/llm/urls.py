@@ -98,17 +98,15 @@ def template_purity(urls: DataFrame) -> DataFrame:
         )
         done.append(here)
 
-    total = ways.agg(F.sum("blocked").alias("b"), F.sum("known").alias("k"))
-    purity = total.select(
-        ((F.coalesce("b", F.lit(0)) + PRIOR / 2) / (F.coalesce("k", F.lit(0)) + PRIOR)).alias("purity")
-    )
-    # One row: the root of the tree.
-    nodes = write_table(purity)
-    keys: list[str] = []
+    total = ways.agg(F.sum("blocked").alias("b"), F.sum("known").alias("k")).first()
+    root = ((total["b"] or 0) + PRIOR / 2) / ((total["k"] or 0) + PRIOR)
+    nodes, keys = None, []
     for here in done:
         counts = ways.groupBy(*keys, here).agg(F.sum("blocked").alias("b"), F.sum("known").alias("k"))
-        above = nodes.withColumnRenamed("purity", "prior")
-        joined = counts.join(above, keys) if keys else counts.crossJoin(F.broadcast(above))
+        if nodes is None:
+            joined = counts.withColumn("prior", F.lit(root))
+        else:
+            joined = counts.join(nodes.withColumnRenamed("purity", "prior"), keys)
         smoothed = (F.col("b") + PRIOR * F.col("prior")) / (F.col("k") + PRIOR)
         error = F.sqrt(F.col("prior") * (1 - F.col("prior")) / F.greatest("k", F.lit(1)))
         alike = F.abs(F.col("b") / F.greatest("k", F.lit(1)) - F.col("prior")) <= 2 * error
