@@ -19,7 +19,7 @@ from parcelflow.plans.split import (
 from parcelflow.plans.targets import model_inputs
 from parcelflow.session import materialize
 from parcelflow.sources.lake import Lake, new_run_id
-from parcelflow.sources.runs import record_run
+from parcelflow.sources.runs import model_path, record_run, refuse_recorded
 from parcelflow.sources.splits import load_split, save_split
 
 
@@ -41,10 +41,12 @@ def optimization_run(
     config: BoostingConfig = BoostingConfig(),
     run_id: str | None = None,
 ) -> str:
-    """Train on the train split, score the validation split, record the run.
+    """Train on the train split, score the validation split, record the run and its model.
 
     Test rows are never read into the model or the metrics.
     """
+    run_id = run_id or new_run_id()
+    refuse_recorded(lake.spark, run_root, run_id)
     split_config = optimization_split(task)
     if not split_config.validation_fraction:
         raise ValueError("The optimisation run needs validation rows.")
@@ -61,7 +63,7 @@ def optimization_run(
     validation = rows.where(F.col("split") == VALIDATION)
     model = DeliveryRiskModel.fit(train, config)
     predictions = materialize(model.predict(validation, keep=("order_id", "target")))
-    run_id = run_id or new_run_id()
+    model.save(model_path(run_root, run_id))
     record_run(
         run_root,
         run_id,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,16 @@ def run_exists(spark: SparkSession, root: str, run_id: str) -> bool:
     return rows is not None and not rows.where(F.col("run_id") == run_id).isEmpty()
 
 
+def refuse_recorded(spark: SparkSession, root: str, run_id: str) -> None:
+    if run_exists(spark, root, run_id):
+        raise ValueError(f"The run '{run_id}' is already recorded.")
+
+
+def model_path(root: str, run_id: str) -> str:
+    """Where the fitted model of a run is stored."""
+    return _path(root, f"models/{quote(run_id, safe='')}")
+
+
 def record_run(
     root: str,
     run_id: str,
@@ -35,8 +46,7 @@ def record_run(
     Predictions stay one row per order, so equal probabilities never collapse.
     """
     spark = predictions.sparkSession
-    if run_exists(spark, root, run_id):
-        raise ValueError(f"The run '{run_id}' is already recorded.")
+    refuse_recorded(spark, root, run_id)
     named = F.lit(run_id).alias("run_id")
 
     def pairs(values: Mapping[str, object]) -> DataFrame:

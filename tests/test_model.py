@@ -4,12 +4,12 @@ from pyspark.sql import functions as F
 from parcelflow.plans.experiment import create_split, optimization_run
 from parcelflow.plans.ingest import published_model_dataset
 from parcelflow.plans.metrics import ranking_metrics
-from parcelflow.plans.model import BoostingConfig, CategoryRates, DeliveryRiskModel
+from parcelflow.plans.model import BoostingConfig, CategoryRates, DeliveryRiskModel, with_fold
 from parcelflow.plans.split import optimization_split
 from parcelflow.plans.targets import model_inputs
 from parcelflow.schemas import NUMERIC_INPUTS, ORDER_FEATURES, ORDER_TARGETS
 from parcelflow.sources.lake import CURATED_LAYER, Lake
-from parcelflow.sources.runs import read_runs
+from parcelflow.sources.runs import model_path, read_runs
 
 SMALL = BoostingConfig(n_estimators=5)
 
@@ -80,6 +80,22 @@ def test_unseen_category_gets_the_overall_rate(spark):
     assert got["a"] == pytest.approx((1 + 20 / 3) / 22)
 
 
+def test_training_rates_do_not_hold_the_own_label(spark):
+    i = F.col("id")
+    noise = (F.xxhash64("id") % 2 != 0).cast("int")
+    train = with_fold(spark.range(4000).select(i, (i % 1500).alias("zip"), noise.alias("target")))
+    rates = CategoryRates.fit(train, "zip")
+    assert rates.apply(train).corr("zip_rate", "target") > 0.4
+    assert rates.apply(train, training=True).corr("zip_rate", "target") < 0.1
+    # The other folds' share, from the rows themselves.
+    rows = train.collect()
+    for r in rates.apply(train, training=True).where("zip < 5").collect():
+        rest = [x.target for x in rows if x.fold != r.fold]
+        own = [x.target for x in rows if x.fold != r.fold and x.zip == r.zip]
+        wanted = (sum(own) + 20 * sum(rest) / len(rest)) / (len(own) + 20)
+        assert r.zip_rate == pytest.approx(wanted)
+
+
 def test_optimization_run_is_recorded_once(spark, lake, tmp_path):
     splits, runs = str(tmp_path / "splits"), str(tmp_path / "runs")
     assert create_split(lake, splits, "non_delivery", optimization_split("non_delivery"))
@@ -97,5 +113,13 @@ def test_optimization_run_is_recorded_once(spark, lake, tmp_path):
     }
     assert params["training_rows"] == "480"
     assert params["split_id"] == "non_delivery_chronological_v1"
+    # The stored model gives the recorded probabilities again.
+    dataset = published_model_dataset(lake, "non_delivery")
+    model = DeliveryRiskModel.load(spark, model_path(runs, "a"))
+    again = model.predict(model_inputs(dataset, keep=("order_id",)))
+    both = predictions.where("run_id = 'a'").join(
+        again.select("order_id", F.col("probability").alias("p")), "order_id"
+    )
+    assert both.count() == 60 and both.where("abs(probability - p) > 1e-12").count() == 0
     # The newest tenth is the test split and stays out.
     assert predictions.agg(F.max("order_id")).first()[0] == "o00539"
