@@ -9,7 +9,7 @@ each held in memory by the tasks, against all rows.
    don't make a run less rare.
 2. Seeds join: all runs of three words of all documents meet the seeds; hits of an item that
    lie close together make a passage.
-3. The passage, with an item's length on both sides, is aligned with the whole item (match 2,
+3. The passage, with two item lengths on both sides, is aligned with the whole item (match 2,
    mismatch -1, gap -1). The score over the highest possible one is the similarity.
 
 Words are runs of ASCII letters and digits and of bytes above 127, with A-Z lower-cased, so
@@ -153,7 +153,8 @@ def _find(items: list[np.ndarray], names: list, seeds, similar: float, kinds: tu
                 own = text == t
                 best: dict[int, tuple] = {}
                 for i, a, b in zip(*passages(seed_item[which[own]], at[own])):
-                    reach = len(items[i]) + 4
+                    # With a gap for each word more, no alignment of an item reaches further.
+                    reach = 2 * len(items[i]) + RUN
                     a, b = max(int(first[t]), a - reach), min(int(first[t + 1]), b + reach + RUN)
                     value, start, stop = aligned(items[i], words[a:b])
                     if value >= similar and value > best.get(i, (0,))[0]:

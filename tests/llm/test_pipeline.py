@@ -189,6 +189,30 @@ def test_all_leaks_equal_loops(spark):
     assert {(r.doc_id, r.item_id): r.similarity for r in got} == pytest.approx(wanted)
 
 
+def test_torn_copies_equal_loops(spark):
+    """Items with words put in, left out and changed, rare words at one end only."""
+    rng = np.random.default_rng(4)
+    common = [f"c{k}" for k in range(12)]
+    items, docs = [], []
+    for i in range(12):
+        tail = [common[k] for k in rng.integers(0, 12, 24)]
+        items.append((i, " ".join([f"rare{i}x{k}" for k in range(6)] + tail)))
+    for d in range(120):
+        words = items[d % 12][1].split()
+        at, more = int(rng.integers(3, 28)), int(rng.integers(0, 32))
+        words[at:at] = [common[k] if d % 2 else f"z{d}y{k}" for k in rng.integers(0, 12, more)]
+        words = [w for w in words if rng.random() > 0.05]
+        docs.append((d, " ".join([*rng.choice(common, 40), *words, *rng.choice(common, 40)])))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = leaks.leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    wanted = leaks_by_loops(docs, [(i, x.encode().split()) for i, x in items])
+    # Another item's common words alone may align by chance without a run of three.
+    own = {k: v for k, v in wanted.items() if k[0] % 12 == k[1]}
+    found = {(r.doc_id, r.item_id): r.similarity for r in got}
+    assert len(own) > 60 and {k: found.get(k) for k in own} == pytest.approx(own)
+    assert all(wanted[k] == pytest.approx(v) for k, v in found.items())
+
+
 def targets_by_loops(sizes, weights):
     """Shares of all sizes, found by letting one source at a time run into its limit."""
     limit, fixed = {s: 3.0 * n for s, n in sizes.items()}, {}
