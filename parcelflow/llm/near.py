@@ -109,16 +109,19 @@ def coarse(full: np.ndarray) -> np.ndarray:
 
 def chance(n: np.ndarray) -> np.ndarray:
     """How likely the coarse registers of two unrelated sets of about ``n`` are equal."""
-    zeros, mantissa = np.divmod(np.arange(COARSE_ZEROS * 16), 16)
+    # Every real cell has its own bounds; from the last level on, cells of a mantissa are one.
+    zeros, mantissa = np.divmod(np.arange(56 * 16), 16)
     low = 2.0 ** -(zeros + 1) * (1 + mantissa / 16)
     high = 2.0 ** -(zeros + 1) * (1 + (mantissa + 1) / 16)
-    low[zeros == COARSE_ZEROS - 1] = 0
     # One size for each quarter of an octave is close enough.
     step, back = np.unique(np.round(4 * np.log2(np.maximum(n, 1))), return_inverse=True)
     rate = 2.0 ** (step / 4)[:, None] / REGISTERS
-    share = np.exp(-rate * low) - np.exp(-rate * high)
-    share = share / np.maximum(1 - np.exp(-rate), 1e-12)
-    return np.minimum((share**2).sum(1), 0.9)[back]
+    share = np.exp(-rate * low) * -np.expm1(-rate * (high - low))
+    share = share / np.maximum(-np.expm1(-rate), 1e-12)
+    last = (COARSE_ZEROS - 1) * 16
+    told = share[:, : last + 16].copy()
+    told[:, last:] = share[:, last:].reshape(len(step), -1, 16).sum(1)
+    return (told**2).sum(1)[back]
 
 
 def _sketch(words: int):
