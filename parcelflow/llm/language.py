@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.llm.arrays import flat, lower_table, slices
-from parcelflow.llm.html import main_text
+from parcelflow.llm.html import RAW, TOKEN, main_text
 from parcelflow.llm.storage import write_table
 
 CELLS = 1 << 15
@@ -33,6 +33,23 @@ SLICE_BYTES = 500_000
 DECLARED = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,8})", re.I)
 
 
+def declared_language(page: str | None) -> str | None:
+    """The language of the first ``<html>`` tag that declares one, wherever it stands in the page;
+    comments, scripts and the like are not looked into."""
+    if not page or not DECLARED.search(page):
+        return None
+    at = 0
+    while m := TOKEN.search(page, at):
+        at = m.end()
+        tag = (m["tag"] or "").lower()
+        if tag == "html" and (found := DECLARED.match(m[0])):
+            return found[1].lower()
+        if tag in RAW:
+            end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(page, at)
+            at = end.end() if end else len(page)
+    return None
+
+
 def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Cell of every run of three bytes, A-Z lower-cased, and where each text's begin."""
     data = lower_table()[data].astype(np.uint32)
@@ -107,8 +124,7 @@ def _evidence(model: TextModel, markup: bool):
             declared = pa.nulls(batch.num_rows, pa.string())
             if markup:
                 pages = raw.to_pylist()
-                found = [DECLARED.search(p[:4096]) if p else None for p in pages]
-                declared = pa.array([m[1].lower() if m else None for m in found], pa.string())
+                declared = pa.array([declared_language(p) for p in pages], pa.string())
                 raw = pa.array([main_text(p) for p in pages], pa.string())
             score = model.likelihoods(*flat(raw))
             yield pa.RecordBatch.from_arrays(

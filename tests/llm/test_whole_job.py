@@ -3,8 +3,9 @@
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from parcelflow.llm import near
+from parcelflow.llm import language, near
 
 
 @pytest.mark.parametrize("n", [1_000_000, 1_500_000, 4_000_000])
@@ -31,3 +32,17 @@ def test_chance_of_unrelated_sets():
             p, q = near.coarse(near.registers(np.concatenate(sets), np.array([0, n, 2 * n])))
             equal.append(((p == q) & (p > 0)).sum() / ((p | q) > 0).sum())
         assert near.chance(np.array([n]))[0] == pytest.approx(np.mean(equal), abs=0.05)
+
+
+def test_language_declared_late_in_a_page(spark):
+    said = "words of a page that say little about it"
+    pages = [
+        (1, f"<!--{'x' * 6000}-->{' ' * 3000}<html class=a lang='FR'><p>{said}</p></html>"),
+        (2, f"<!--[if IE]><html lang=de><![endif]--><!--[if !IE]><!--><html lang=fr><!--<![endif]--><p>{said}"),
+        (3, f"<html><script>'<html lang=de>'</script><p>{said}</p>"),
+        (4, None),
+    ]
+    df = spark.createDataFrame(pages, "page_id long, html string")
+    docs = spark.createDataFrame([("some words in here", "en"), ("quelques mots ici", "fr")], "text string, lang string")
+    told = language.identified(df, language.fit_text_model(docs), "page_id", "html", F.lit("h"), True)
+    assert {r.page_id: r.declared for r in told.collect()} == {1: "fr", 2: "fr", 3: None, 4: None}
