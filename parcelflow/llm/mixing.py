@@ -4,7 +4,9 @@ Documents are counted by membership pattern (the set of sources they belong to).
 problem over patterns and sources, with one node for each, decides how many words each pattern
 gives: the first use of a pattern's words is free, the second and the third cost more and more,
 so repetition is a last resort. Then documents are chosen in a seeded order: whole rounds for
-all, and one more for those with the smallest hashes, found from a histogram of 65,536 bins.
+all, and one more for those that still fit, in hash order, until no document left out fits in
+what is open. Histograms of 65,536 bins find where the next one does not fit; only the bins
+around that place come to the driver, which picks the largest sum that fits.
 
 Only one row for each pattern comes to the driver; ``MOST_PATTERNS`` guards that, and more
 patterns raise an error and are never dropped.
@@ -25,9 +27,12 @@ from parcelflow.llm.storage import write_table
 WEIGHTS = (5, 2, 1)
 MOST_TIMES = 3
 MOST_PATTERNS = 20_000
-BINS = 1 << 16
-#: Documents that fill what is left below the histogram's resolution, for each pattern.
-FILLS = 6
+#: Places in hash order are numbers of 63 bits; a histogram tells 16 bits more than the one above.
+PLACE_BITS, BIN_BITS = 63, 16
+#: Up to so many open words, so many documents at a time are looked through for the best sum.
+EXACT_WORDS, EXACT_ROWS = 50_000, 2_000
+#: Documents that come to the driver at a time, of all patterns together, and of each at least.
+MOST_ROWS, LEAST_ROWS = 100_000, 20
 
 
 def source_targets(sizes: dict, weights: dict | None = None) -> dict:
@@ -120,6 +125,109 @@ def _text_of(source: T.DataType) -> T.StructType:
     )
 
 
+def _best_fill(docs: list[tuple[int, int]], gap: int) -> list[tuple[int, int]]:
+    """Documents (row, size) that fill a gap so that no other one fits: in order while more than
+    ``EXACT_WORDS`` are open, then by the largest sum of sizes that the gap holds."""
+    taken, at = [], 0
+    while at < len(docs) and gap > EXACT_WORDS:
+        if docs[at][1] <= gap:
+            taken.append(docs[at])
+            gap -= docs[at][1]
+        at += 1
+    while at < len(docs) and gap:
+        # Bit k of the last number says that some of the documents so far have k words together.
+        fit = [d for d in docs[at : at + EXACT_ROWS] if d[1] <= gap]
+        sums, mask = [1], (1 << gap + 1) - 1
+        for _, size in fit:
+            sums.append((sums[-1] | sums[-1] << size) & mask)
+            if sums[-1] >> gap:
+                break
+        best = sums[-1].bit_length() - 1
+        gap -= best
+        for i in range(len(sums) - 2, -1, -1):
+            if not sums[i] >> best & 1:
+                taken.append(fit[i])
+                best -= fit[i][1]
+        at += EXACT_ROWS
+    return taken
+
+
+def _filled(rows: DataFrame, rests: dict[str, int]) -> tuple[dict[str, list[tuple]], list[int]]:
+    """Documents that fill the rest of every pattern, in the order of their places. As
+    spans ``(low, last, most)`` of places whose documents of at most ``most`` words are taken, and
+    rows that are taken besides; no document left out fits in what is open.
+
+    A round sums up, for every open pattern, the documents that fit by bins of their places. All
+    before the first bin that does not fit are a span. That bin, with those behind it as far as
+    they are few, is gone through on the driver, or cut into finer bins if it holds too many."""
+    spark, end, top = rows.sparkSession, 1 << PLACE_BITS, PLACE_BITS - BIN_BITS
+    gaps = {n: g for n, g in rests.items() if g > 0}
+    # From where on, up to where, and by which bins a pattern is looked at.
+    looks = {n: (0, end - 1, top) for n in gaps}
+    spans: dict[str, list[tuple]] = {n: [] for n in gaps}
+    picked: list[int] = []
+    while looks:
+        few = max(LEAST_ROWS, MOST_ROWS // len(looks))
+        wanted = spark.createDataFrame(
+            [(n, gaps[n], *look) for n, look in looks.items()],
+            "name string, gap long, low long, last long, shift int",
+        )
+        fits = rows.join(F.broadcast(wanted), "name").where(
+            (F.col("size") > 0) & (F.col("size") <= F.col("gap")) & F.col("place").between(F.col("low"), F.col("last"))
+        )
+        bins = fits.groupBy("name", "gap", F.expr("shiftrightunsigned(place, shift)").alias("bin")).agg(
+            F.sum("size").alias("size"), F.count("*").alias("n")
+        )
+        upto = W.partitionBy("name").orderBy("bin").rowsBetween(W.unboundedPreceding, 0)
+        summed = bins.withColumn("upto", F.sum("size").over(upto)).withColumn("rows", F.sum("n").over(upto))
+        full = F.col("upto") <= F.col("gap")
+        before = F.coalesce(F.max(F.when(full, F.col("rows"))).over(W.partitionBy("name")), F.lit(0))
+        near = (~full) & (F.col("rows") - F.col("before") <= few)
+        found = {
+            r.name: r
+            for r in summed.withColumn("before", before)
+            .groupBy("name")
+            .agg(
+                F.max(F.when(full, F.col("upto"))).alias("filled"),
+                F.min(F.when(~full, F.col("bin"))).alias("stop"),
+                F.max(F.when(near, F.col("bin"))).alias("few_to"),
+            )
+            .collect()
+        }
+        reads = []
+        for n, (low, last, shift) in list(looks.items()):
+            r = found.get(n)
+            stop = None if r is None else r.stop
+            # A bin holds places below ``low`` too when an earlier round ended inside it.
+            at = last + 1 if stop is None else max(low, stop << shift)
+            if at > low and r is not None:
+                spans[n].append((low, at - 1, gaps[n]))
+                gaps[n] -= r.filled or 0
+            if stop is not None and r.few_to is None and shift:
+                looks[n] = (at, min(last, ((stop + 1) << shift) - 1), max(0, shift - BIN_BITS))
+                continue
+            if stop is not None:
+                far = stop if r.few_to is None else r.few_to
+                upper = min(last, ((far + 1) << shift) - 1)
+                reads.append((n, gaps[n], at, upper))
+                at = upper + 1
+            looks[n] = (at, end - 1, top)
+        if reads:
+            ranges = spark.createDataFrame(reads, "name string, gap long, low long, last long")
+            near_rows = rows.join(F.broadcast(ranges), "name").where(
+                (F.col("size") > 0) & (F.col("size") <= F.col("gap")) & F.col("place").between(F.col("low"), F.col("last"))
+            )
+            of_pattern: dict[str, list] = {}
+            for r in sorted(near_rows.select("place", "row", "size", "name").collect()):
+                of_pattern.setdefault(r.name, []).append((r.row, r.size))
+            for n, docs in of_pattern.items():
+                for row, size in _best_fill(docs, gaps[n]):
+                    picked.append(row)
+                    gaps[n] -= size
+        looks = {n: look for n, look in looks.items() if gaps[n] > 0 and look[0] < end}
+    return spans, picked
+
+
 def mixed(
     df: DataFrame,
     id_column: str = "doc_id",
@@ -144,12 +252,19 @@ def mixed(
     source = kind.elementType if several else kind
     members = F.coalesce(F.col(sources), F.array().cast(kind)) if several else F.array(sources)
     pattern = F.array_sort(F.array_distinct(members))
-    rows = df.select(
-        F.monotonically_increasing_id().alias("row"),
+    rows = df.withColumn("_mixed_row", F.monotonically_increasing_id())
+    # The id's hash leads; where ids are null or repeated, the text's and the row's decide.
+    place = (
+        F.shiftleft(F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_column)), 48), 47)
+        .bitwiseOR(F.shiftleft(F.shiftrightunsigned(F.xxhash64(F.lit(seed + 1), F.col(id_column), F.col(text)), 33), 16))
+        .bitwiseOR(F.shiftrightunsigned(F.xxhash64(F.lit(seed + 2), "_mixed_row"), 48))
+    )
+    rows = rows.select(
+        F.col("_mixed_row").alias("row"),
         F.col(id_column).alias("id"),
         F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("size"),
         pattern.alias("pattern"),
-        F.xxhash64(F.lit(seed), F.col(id_column)).alias("h"),
+        place.alias("place"),
         F.struct(F.lit(0), *[F.col(c) for c in keep]).alias("kept"),
     )
     rows = write_table(rows)
@@ -172,52 +287,16 @@ def mixed(
 
     # The pattern as text is a join key that also holds nulls.
     name = F.to_json(F.struct("pattern")).alias("name")
-    rows = rows.withColumn("name", name).withColumn("bin", F.shiftrightunsigned("h", 48))
+    rows = rows.withColumn("name", name)
     plans = plans.withColumn("name", name).select("name", "rounds", "rest")
-    bins = rows.groupBy("name", "bin").agg(F.sum("size").alias("size"))
-    upto = W.partitionBy("name").orderBy("bin").rowsBetween(W.unboundedPreceding, 0)
-    cut = (
-        bins.withColumn("upto", F.sum("size").over(upto))
-        .join(F.broadcast(plans), "name")
-        .where(F.col("upto") <= F.col("rest"))
-        .groupBy("name")
-        .agg(F.max("bin").alias("last_bin"), F.max("upto").alias("filled"))
-    )
-    cuts = (
-        plans.join(cut, "name", "left")
-        .select(
-            "name",
-            "rounds",
-            F.coalesce("last_bin", F.lit(-1)).alias("last_bin"),
-            (F.col("rest") - F.coalesce("filled", F.lit(0))).alias("gap"),
-        )
-        .collect()
-    )
-    cut_schema = "name string, rounds long, last_bin long, gap long"
-    picked: dict[str, list[int]] = {}
-    gaps = {c.name: c.gap for c in cuts}
-    later = rows.join(
-        F.broadcast(spark.createDataFrame([tuple(c) for c in cuts], cut_schema).drop("gap")), "name"
+    told_plans = plans.collect()
+    spans, single = _filled(rows.select("row", "name", "size", "place"), {r.name: r.rest for r in told_plans})
+    cuts = spark.createDataFrame(
+        [(r.name, r.rounds, spans.get(r.name, [])) for r in told_plans],
+        "name string, rounds long, spans array<struct<low:long,last:long,most:long>>",
     )
-    for _ in range(FILLS):
-        open_gaps = [(n, g) for n, g in gaps.items() if g > 0]
-        if not open_gaps:
-            break
-        taken_rows = [(r,) for own in picked.values() for r in own]
-        fits = (
-            later.where(F.col("bin") > F.col("last_bin"))
-            .join(F.broadcast(spark.createDataFrame(open_gaps, "name string, gap long")), "name")
-            .where((F.col("size") > 0) & (F.col("size") <= F.col("gap")))
-            .join(F.broadcast(spark.createDataFrame(taken_rows, "row long")), "row", "left_anti")
-        )
-        best = fits.groupBy("name").agg(F.max(F.struct("size", "h", "row")).alias("best")).collect()
-        if not best:
-            break
-        for b in best:
-            picked.setdefault(b.name, []).append(b.best.row)
-            gaps[b.name] -= b.best.size
-    extra_rows = [(r, 1) for own in picked.values() for r in own]
-    extra = spark.createDataFrame(extra_rows, "row long, extra int")
+    later = rows.join(F.broadcast(cuts), "name")
+    extra = spark.createDataFrame([(r, 1) for r in single], "row long, extra int")
 
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
     told = {s: (sizes[s], float(targets[s])) for s in order}
@@ -233,9 +312,13 @@ def mixed(
         ]
     )
     owns = spark.createDataFrame(own, own_schema).withColumn("name", name).drop("pattern")
-    # Three small sides: one row a pattern, or ``FILLS`` rows a pattern.
+    # Three small sides: one row a pattern, or the few documents picked on the driver.
     chosen = later.join(F.broadcast(owns), "name").join(F.broadcast(extra), "row", "left")
-    once_more = (F.col("bin") <= F.col("last_bin")).cast("int") + F.coalesce("extra", F.lit(0))
+    inside = F.exists(
+        "spans",
+        lambda x: F.col("place").between(x["low"], x["last"]) & (F.col("size") <= x["most"]),
+    )
+    once_more = (inside & (F.col("size") > 0)).cast("int") + F.coalesce("extra", F.lit(0))
     return chosen.select(
         F.col("id").alias(id_column),
         "size",

@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from parcelflow.llm import language, near
+from parcelflow.llm import language, mixing, near
 
 
 @pytest.mark.parametrize("n", [1_000_000, 1_500_000, 4_000_000])
@@ -46,3 +46,23 @@ def test_language_declared_late_in_a_page(spark):
     docs = spark.createDataFrame([("some words in here", "en"), ("quelques mots ici", "fr")], "text string, lang string")
     told = language.identified(df, language.fit_text_model(docs), "page_id", "html", F.lit("h"), True)
     assert {r.page_id: r.declared for r in told.collect()} == {1: "fr", 2: "fr", 3: None, 4: None}
+
+
+@pytest.mark.parametrize("few", [(100_000, 20), (1, 1)])
+@pytest.mark.parametrize("ids", ["own", "null"])
+def test_mix_leaves_no_document_that_fits(spark, monkeypatch, ids, few):
+    monkeypatch.setattr(mixing, "MOST_ROWS", few[0], raising=False)
+    monkeypatch.setattr(mixing, "LEAST_ROWS", few[1], raising=False)
+    rows = [(i, "w " * (20_000 if i % 201 == 0 else 300 + i % 7), f"s{i // 201}") for i in range(603)]
+    df = spark.createDataFrame([(i if ids == "own" else None, *r) for i, *r in rows], "doc_id long, text string, source string")
+    for seed in (range(3) if few[0] > 1 else [0]):
+        told = {}
+        got = mixing.mixed(df, seed=seed, keep=("source",))
+        for r in got.collect():
+            told.setdefault(r.source, []).append(r)
+        for own in told.values():
+            left = round(own[0].target) - sum(r.taken for r in own)
+            rounds = min(r.taken // r.size for r in own)
+            assert left >= 0
+            if rounds < mixing.MOST_TIMES:
+                assert all(r.size > left for r in own if r.taken == rounds * r.size)
