@@ -1,14 +1,13 @@
-"""Operator 4, benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Operator 4, benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 The benchmark is a stated query set: it is worked through in blocks of items of bounded size,
 each held in memory by the tasks, against all rows.
 
-1. Rarity: how often each word of a block occurs in all documents gives how often a run of
-   three words would occur by chance. Runs expected less than once are seeds, and so is the
-   rarer half of an item's runs, so every item has some. Copies of the item in the corpus
-   don't make a run less rare.
+1. Seeds: every run of three words of an item, rare or not, so that the search does not depend
+   on what else the corpus holds, nor on its size.
 2. Seeds join: all runs of three words of all documents meet the seeds; hits of an item that
-   lie close together make a passage.
+   lie close together make a passage. A passage that shares too few words with the item to reach
+   the similarity is let go: no alignment can match more words than both have.
 3. The passage, with two item lengths on both sides, is aligned with the whole item (match 2,
    mismatch -1, gap -1). The score over the highest possible one is the similarity.
 
@@ -63,35 +62,16 @@ def _hashed_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return word_hashes(data, begins, ends), first
 
 
-def _word_counts(wanted: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(len(wanted) + 1, np.int64)
-        for batch in slices(batches, "body"):
-            words, _ = _hashed_words(batch.column("body"))
-            known = words[is_in(words, wanted)]
-            counts[:-1] += np.bincount(np.searchsorted(wanted, known), minlength=len(wanted))
-            counts[-1] += len(words)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(len(counts))), pa.array(counts)], names=["word", "n"]
-        )
-
-    return run
-
-
-def _seeds(words: np.ndarray, first: np.ndarray, share: np.ndarray, total: int):
-    """Hashes of the seeds in order, and for each the item and the place it comes from."""
-    expected = np.log(np.maximum(share, 1e-300))
-    hashes = Substrings(words).all_of(RUN)
+def _seeds(words: np.ndarray, first: np.ndarray):
+    """Hashes of the items' runs in order, and the item that each comes from."""
     places = starts_inside(first, RUN)
-    chance = sum(expected[places + k] for k in range(RUN)) + np.log(max(total, 1))
-    item = owners(first, places)
-    rare = chance < 0
-    for i in np.unique(item):
-        own = np.flatnonzero(item == i)
-        rare[own[np.argsort(chance[own], kind="stable")[: (len(own) + 1) // 2]]] = True
-    hashes, item, places = hashes[places][rare], item[rare], (places - first[item])[rare]
-    order = np.argsort(hashes, kind="stable")
-    return hashes[order], item[order], places[order]
+    hashes, item = Substrings(words).all_of(RUN)[places], owners(first, places)
+    # A run that an item repeats is one seed.
+    order = np.lexsort((item, hashes))
+    hashes, item = hashes[order], item[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (item[1:] != item[:-1])
+    return hashes[new], item[new]
 
 
 def aligned(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int]:
@@ -121,13 +101,23 @@ def aligned(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int]:
 
 
 def _find(items: list[np.ndarray], names: list, seeds, similar: float, kinds: tuple):
-    hashes, seed_item, seed_place = seeds
+    hashes, seed_item = seeds
+    length = np.array([len(x) for x in items], np.int64)
+    # The words of each item in order, and how often it has each.
+    counted = [np.unique(x, return_counts=True) for x in items]
+
+    def shared(i: int, passage: np.ndarray) -> int:
+        """How many words of the item can have a match in the passage."""
+        own, times = counted[i]
+        at = np.minimum(np.searchsorted(own, passage), len(own) - 1)
+        seen = np.bincount(at[own[at] == passage], minlength=len(own))
+        return int(np.minimum(seen, times).sum())
 
     def passages(hit_item, hit_at):
         """Item, first and last word of hits of one item that lie close together."""
         order = np.lexsort((hit_at, hit_item))
         hit_item, hit_at = hit_item[order], hit_at[order]
-        reach = np.array([len(x) for x in items])[hit_item]
+        reach = length[hit_item]
         new = np.ones(len(hit_item), bool)
         new[1:] = (hit_item[1:] != hit_item[:-1]) | (np.diff(hit_at) > 2 * reach[1:])
         begin = np.flatnonzero(new)
@@ -156,6 +146,8 @@ def _find(items: list[np.ndarray], names: list, seeds, similar: float, kinds: tu
                     # With a gap for each word more, no alignment of an item reaches further.
                     reach = 2 * len(items[i]) + RUN
                     a, b = max(int(first[t]), a - reach), min(int(first[t + 1]), b + reach + RUN)
+                    if shared(i, words[a:b]) < similar * len(items[i]):
+                        continue
                     value, start, stop = aligned(items[i], words[a:b])
                     if value >= similar and value > best.get(i, (0,))[0]:
                         best[i] = (value, int(a - first[t] + start), int(a - first[t] + stop))
@@ -210,13 +202,7 @@ def leaks(
         block = items.where(F.pmod(F.xxhash64("item_id", "body"), F.lit(blocks)) == k)
         held = block.orderBy("item_id", "body").collect()
         words, first = _hashed_words(pa.array([r.body for r in held], pa.string()))
-        wanted = np.unique(words)
-        counted = rows.select("body").mapInArrow(_word_counts(wanted), "word long, n long")
-        counts = np.zeros(len(wanted) + 1, np.int64)
-        for r in counted.groupBy("word").agg(F.sum("n").alias("n")).collect():
-            counts[r.word] = r.n
-        share = (counts[np.searchsorted(wanted, words)] + 1) / max(1, counts[-1])
-        seeds = _seeds(words, first, np.minimum(share, 1), int(counts[-1]))
+        seeds = _seeds(words, first)
         each = [words[a:b] for a, b in zip(first[:-1], first[1:])]
         found = rows.mapInArrow(_find(each, [r.item_id for r in held], seeds, similar, kinds), schema)
         results = found if results is None else results.unionByName(found)

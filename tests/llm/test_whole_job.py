@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from parcelflow.llm import language, mixing, near
+from parcelflow.llm import language, leaks, mixing, near
 
 
 @pytest.mark.parametrize("n", [1_000_000, 1_500_000, 4_000_000])
@@ -66,3 +66,19 @@ def test_mix_leaves_no_document_that_fits(spark, monkeypatch, ids, few):
             assert left >= 0
             if rounds < mixing.MOST_TIMES:
                 assert all(r.size > left for r in own if r.taken == rounds * r.size)
+
+
+def test_copies_without_their_rare_words(spark):
+    """However large the corpus is: the other documents make all words that are left common."""
+    rng = np.random.default_rng(3)
+    common = [f"c{k}" for k in range(9)]
+    items = []
+    for i in range(8):
+        words = [common[k] for k in rng.integers(0, 9, 60)]
+        words[::6] = [f"rare{i}x{k}" for k in range(10)]
+        items.append((i, " ".join(words)))
+    docs = [(i, " ".join("other" if w.startswith("rare") else w for w in t.split())) for i, t in items]
+    docs += [(100 + d, " ".join(rng.choice(common, 20_000))) for d in range(20)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = leaks.leaks(df, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(i, i) for i, _ in items} <= {(r.doc_id, r.item_id) for r in got}
