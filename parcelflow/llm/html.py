@@ -5,7 +5,7 @@ tag, times a logarithm that falls with the share of its characters in links (com
 density of the published CETD method). The sum of the densities of its children says how much
 a node holds running text; the subtree with the highest sum is the core. The lowest density on
 the way from the body to the core is the threshold: beside the way down, subtrees that reach
-it are part of the text too. An ``article`` or ``main`` around the core is taken whole.
+it are part of the text too. Text between the blocks of a node counts as a block. An ``article`` or ``main`` around the core is taken whole.
 
 Menus, headers, footers, side bars, notices, adverts, forms, scripts and comments by readers are
 cut out of the tree first, by their element, role or the words of their class and id.
@@ -83,6 +83,11 @@ SPACE = re.compile(r"\s+")
 TITLED = frozenset("article entry post story content".split())
 
 
+#: Stands for text and inline elements between the blocks of a node; no element, like a line break.
+TEXT = "#text"
+NO_ELEMENTS = frozenset({TEXT, "br", "wbr"})
+
+
 class Node:
     __slots__ = ("tag", "parts", "parent", "chars", "tags", "link_chars", "links", "density", "total")
 
@@ -192,6 +197,35 @@ def tree(page: str) -> Node:
     return root
 
 
+def _wrap_text(root: Node) -> None:
+    """Make text and inline elements that stand between the blocks of a node blocks of their own."""
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack.extend(node.children())
+    blocks: set[int] = set()
+    for node in reversed(order):
+        below = node.children()
+        if node.tag not in INLINE | VOID or node.tag == "hr" or any(id(c) in blocks for c in below):
+            blocks.add(id(node))
+        if not any(id(c) in blocks and c.parts for c in below):
+            continue
+        parts, run = node.parts, None
+        node.parts = []
+        for part in parts:
+            if isinstance(part, Node) and id(part) in blocks:
+                run = None
+                node.parts.append(part)
+                continue
+            if run is None:
+                run = Node(TEXT, node)
+                node.parts.append(run)
+            run.parts.append(part)
+            if isinstance(part, Node):
+                part.parent = run
+
+
 def _measure(root: Node) -> None:
     """Characters, tags and links of every subtree, without recursion."""
     order, stack = [], [root]
@@ -204,7 +238,7 @@ def _measure(root: Node) -> None:
         node.tags, node.links, node.link_chars = 0, 0, 0
         for child in node.children():
             node.chars += child.chars
-            node.tags += child.tags + 1
+            node.tags += child.tags + (child.tag not in NO_ELEMENTS)
             node.links += child.links + (child.tag == "a")
             node.link_chars += child.chars if child.tag == "a" else child.link_chars
     body_chars, body_links = max(root.chars, 1), root.link_chars
@@ -277,6 +311,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = tree(page)
+    _wrap_text(root)
     _measure(root)
     out: list[str] = []
     for node in _chosen(root):

@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from parcelflow.llm import language, leaks, mixing, near
+from parcelflow.llm import html, language, leaks, mixing, near
 
 
 @pytest.mark.parametrize("n", [1_000_000, 1_500_000, 4_000_000])
@@ -82,3 +82,16 @@ def test_copies_without_their_rare_words(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string")
     got = leaks.leaks(df, spark.createDataFrame(items, "item_id long, text string")).collect()
     assert {(i, i) for i, _ in items} <= {(r.doc_id, r.item_id) for r in got}
+
+
+def test_bare_text_around_a_quotation():
+    lines = [" ".join(f"line{k}word{j}" for j in range(8)) for k in range(12)]
+    quote = ["A quoted paragraph that says something at length. " * 9, "Another one that goes on for a while. " * 9]
+    quoted = "<blockquote>" + "".join(f"<p>{q}</p>" for q in quote) + "</blockquote>"
+    wanted = " ".join(" ".join([*lines[:6], *quote, *lines[6:]]).split())
+    for parted in ("<br>", "<br><br>\n"):
+        bare = f"{parted.join(lines[:6])}{quoted}{parted.join(lines[6:])}"
+        assert html.main_text(f"<html><body>{bare}</body></html>") == wanted
+        assert html.main_text(f"<body><nav>menu</nav><div><span>{bare}</span></div></body>") == wanted
+        apart = f"<div>{parted.join(lines[:6])}</div>{quoted}<div>{parted.join(lines[6:])}</div>"
+        assert html.main_text(f"<body>{apart}</body>") == wanted
