@@ -8,7 +8,8 @@ the way from the body to the core is the threshold: beside the way down, subtree
 it are part of the text too. Text between the blocks of a node counts as a block. An ``article`` or ``main`` around the core is taken whole.
 
 Menus, headers, footers, side bars, notices, adverts, forms, scripts and comments by readers are
-cut out of the tree first, by their element, role or the words of their class and id.
+cut out of the tree first, by their element, role or the words of their class and id. A form, or
+an element so named, stays if its text shows that it wraps the article.
 """
 
 from __future__ import annotations
@@ -34,11 +35,11 @@ INLINE = frozenset(
     "s samp small span strike strong sub sup time tt u var wbr".split()
 )
 NEVER = frozenset(
-    "script style head title noscript iframe template nav footer aside form button select option "
+    "script style head title noscript iframe template nav footer aside button select option "
     "textarea input svg canvas object embed audio video dialog menu map noembed noframes xmp".split()
 )
 ROLES = frozenset(
-    "navigation banner contentinfo complementary search form dialog alert menu menubar alertdialog".split()
+    "navigation banner contentinfo complementary search dialog alert menu menubar alertdialog".split()
 )
 #: Words of a class or id that name what is not the article.
 CHROME = frozenset(
@@ -48,8 +49,14 @@ CHROME = frozenset(
     "notification alert popup modal overlay newsletter subscribe subscription signup login "
     "comment comments comentarios kommentare disqus respond reply replies discussion share sharing "
     "social related recommended recommendations trending popular widget widgets pagination pager "
-    "toolbar skip hidden".split()
+    "toolbar skip".split()
 )
+#: Whole names only: as parts, they tell how an element looks.
+WHOLE_NAMES = frozenset("hidden is-hidden visually-hidden".split())
+#: A name with one of these tells what an element lacks or holds besides the article.
+QUALIFIERS = frozenset("no not has with without".split())
+#: A named element that holds the core stays if this many times its text does not stand outside.
+OUTSIDE = 4
 #: A paragraph ends where one of these begins.
 ENDS_PARAGRAPH = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure "
@@ -89,10 +96,10 @@ NO_ELEMENTS = frozenset({TEXT, "br", "wbr"})
 
 
 class Node:
-    __slots__ = ("tag", "parts", "parent", "chars", "tags", "link_chars", "links", "density", "total")
+    __slots__ = ("tag", "parts", "parent", "named", "chars", "tags", "link_chars", "links", "density", "total")
 
     def __init__(self, tag: str, parent: Node | None):
-        self.tag, self.parent, self.parts = tag, parent, []
+        self.tag, self.parent, self.parts, self.named = tag, parent, [], False
 
     def children(self) -> list[Node]:
         return [p for p in self.parts if isinstance(p, Node)]
@@ -101,19 +108,9 @@ class Node:
 def _is_chrome(tag: str, attrs: str, inside_article: bool) -> bool:
     if tag in NEVER or (tag == "header" and not inside_article):
         return True
-    if not attrs.strip():
-        return False
     for m in ATTRIBUTE.finditer(attrs):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
-            words = set(NAMES.findall(value))
-            if words & CHROME:
-                return True
-            if words & {"header", "topbar"} and not inside_article and not words & TITLED:
-                return True
-        elif name == "class" and {"comment", "comments"} & set(NAMES.findall(value)):
-            return True
-        elif name == "role" and value in ROLES:
+        if name == "role" and value in ROLES:
             return True
         elif name == "hidden" or (name == "aria-hidden" and value == "true"):
             return True
@@ -122,6 +119,31 @@ def _is_chrome(tag: str, attrs: str, inside_article: bool) -> bool:
     return False
 
 
+def _named_chrome(tag: str, attrs: str, inside_article: bool) -> bool:
+    """Whether an element's kind or the words of its class and id say that it is not the article;
+    its text decides whether that is so."""
+    if tag == "form":
+        return True
+    whole_page = tag in ("html", "body", "article", "main")
+    for m in ATTRIBUTE.finditer(attrs):
+        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if name == "role" and value == "form":
+            return True
+        if name not in ("class", "id"):
+            continue
+        each = [(x, set(NAMES.findall(x))) for x in value.split()]
+        each = [(x, words) for x, words in each if not words & QUALIFIERS]
+        words = set().union(*(w for _, w in each))
+        if whole_page:
+            if name == "class" and words & {"comment", "comments"}:
+                return True
+        elif words & CHROME or any(x in WHOLE_NAMES for x, _ in each):
+            return True
+        elif words & {"header", "topbar"} and not inside_article and not words & TITLED:
+            return True
+    return False
+
+
 def tree(page: str) -> Node:
     """The page's elements without those that are never text; unclosed and stray tags are
     mended the way browsers do."""
@@ -184,6 +206,7 @@ def tree(page: str) -> Node:
             node = Node(tag, open_nodes[-1])
             inside = any(x.tag in ("article", "main") for x in open_nodes)
             if not cut and not _is_chrome(tag, attrs, inside):
+                node.named = _named_chrome(tag, attrs, inside)
                 open_nodes[-1].parts.append(node)
             elif not cut:
                 cut.append(len(open_nodes))
@@ -270,19 +293,72 @@ def _text(node: Node, out: list[str]) -> None:
         stack.extend(reversed(item.parts))
 
 
-def _chosen(root: Node) -> list[Node]:
-    """The subtrees that hold the main text, in page order."""
+def _in_order(root: Node) -> list[Node]:
     order, stack = [], [root]
     while stack:
         node = stack.pop()
         order.append(node)
         stack.extend(reversed(node.children()))
+    return order
+
+
+def _core(order: list[Node]) -> Node | None:
+    """The subtree with the highest sum of densities."""
     blocks = [x for x in order if x.tag not in INLINE and x.chars]
     if not blocks:
-        return []
+        return None
     core = max(blocks, key=lambda x: x.total)
-    if not core.total:
-        core = max(blocks, key=lambda x: x.density)
+    return core if core.total else max(blocks, key=lambda x: x.density)
+
+
+def _drop_named(root: Node) -> bool:
+    """Cut the elements of a measured tree that are named as chrome, but not one that wraps the
+    article: it holds the core, its text is not mostly links, and either it holds an article or
+    main while none stands outside, or little running text stands outside."""
+    order = _in_order(root)
+    if not any(x.named for x in order):
+        return False
+    # Running text and articles of each node that are in no named element below it.
+    free, articles = {}, {}
+    for node in reversed(order):
+        own = node.chars - node.link_chars
+        held = node.tag in ("article", "main")
+        for child in node.children():
+            if child.tag == "a":
+                continue
+            if child.named:
+                own -= child.chars - child.link_chars
+            else:
+                own -= child.chars - child.link_chars - free[id(child)]
+                held = held or articles[id(child)]
+        free[id(node)], articles[id(node)] = own, held
+    way, node = [], _core(order)
+    while node is not None:
+        way.append(node)
+        node = node.parent
+    outside, found, stay = free[id(root)], articles[id(root)], set()
+    for node in reversed(way):
+        if not node.named:
+            continue
+        plain = node.chars - node.link_chars
+        held = node.tag not in ("article", "main") and articles[id(node)]
+        wraps = (held and not found) or OUTSIDE * outside < plain
+        if not wraps or 2 * node.link_chars > node.chars:
+            break
+        stay.add(id(node))
+        outside, found = outside + free[id(node)], found or articles[id(node)]
+    for node in order:
+        node.parts = [
+            p for p in node.parts if not isinstance(p, Node) or not p.named or id(p) in stay
+        ]
+    return True
+
+
+def _chosen(root: Node) -> list[Node]:
+    """The subtrees that hold the main text, in page order."""
+    core = _core(_in_order(root))
+    if core is None:
+        return []
     way = [core]
     while way[-1].parent is not None:
         way.append(way[-1].parent)
@@ -313,6 +389,8 @@ def main_text(page: str | None) -> str:
     root = tree(page)
     _wrap_text(root)
     _measure(root)
+    if _drop_named(root):
+        _measure(root)
     out: list[str] = []
     for node in _chosen(root):
         _text(node, out)

@@ -95,3 +95,20 @@ def test_bare_text_around_a_quotation():
         assert html.main_text(f"<body><nav>menu</nav><div><span>{bare}</span></div></body>") == wanted
         apart = f"<div>{parted.join(lines[:6])}</div>{quoted}<div>{parted.join(lines[6:])}</div>"
         assert html.main_text(f"<body>{apart}</body>") == wanted
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    ["div class='overflow-hidden'", "div class='has-sidebar'", "div id='content-with-sidebar'", "div class='no-comments'",
+     "form action=x", "form role=form", "div class='social'", "div class='hidden'"],
+)
+def test_wrappers_of_the_page_stay(wrapper):
+    body = [f"Paragraph {k} of the article with enough words to be read as running text." for k in range(6)]
+    inner = "".join(f"<p>{x}</p>" for x in body)
+    side = "<div class='sidebar'><p>Side stuff here</p></div><div class='comments'>" + "<p>A reader says so.</p>" * 40 + "</div>"
+    tag = wrapper.split()[0]
+    page = "<body><nav>menu</nav><{w}>{x}</{t}><div class=footer>All rights reserved</div></body>"
+    for x in (inner, f"<div>{inner}</div>{side}", f"<article>{inner}</article>{side}"):
+        assert html.main_text(page.format(w=wrapper, x=x, t=tag)) == " ".join(body)
+    small = f"<body><div>{inner}</div><form><p>Your name</p></form><div class='comments'>{'<p>So it is.</p>' * 30}</div></body>"
+    assert html.main_text(small) == " ".join(body)
