@@ -75,7 +75,7 @@ def test_copies_without_their_rare_words(spark):
     items = []
     for i in range(8):
         words = [common[k] for k in rng.integers(0, 9, 60)]
-        words[::6] = [f"rare{i}x{k}" for k in range(10)]
+        words[::4] = [f"rare{i}x{k}" for k in range(15)]
         items.append((i, " ".join(words)))
     docs = [(i, " ".join("other" if w.startswith("rare") else w for w in t.split())) for i, t in items]
     docs += [(100 + d, " ".join(rng.choice(common, 20_000))) for d in range(20)]
