@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import anchors, exact, html, language, leaks, mixing, near, quality, radix, urls
+from parcelflow.llm import (
+    anchors,
+    exact,
+    html,
+    language,
+    leaks,
+    mixing,
+    near,
+    phrases,
+    pieces,
+    prefixes,
+    quality,
+    radix,
+    urls,
+)
 from parcelflow.llm.storage import read
 
 
@@ -58,6 +72,32 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radix.remove_repeats(read(spark, sf_dir, "documents")).drop("kept_bytes")
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    """``path`` names the model file; the public 32,000-piece one unless given."""
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path("piece_bpe_32k.model")
+    with open(path, "rb") as file:
+        model = pieces.PieceModel(file.read())
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    texts = pieces.with_text(pieces.with_ids(docs, model, end=True).drop("text"), model)
+    return texts.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.prefix_trie(read(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_html_extraction": op2_html_extraction,
@@ -69,4 +109,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_url_filters": op9_url_filters,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_sentencepiece": op11_sentencepiece,
+    "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_conversation_trie": op13_conversation_trie,
 }
