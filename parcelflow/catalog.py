@@ -15,6 +15,7 @@ from parcelflow.operators.prefix import global_rank
 from parcelflow.plans import features as f
 from parcelflow.plans import history, metrics, staging, targets
 from parcelflow.plans import split as s
+from parcelflow.plans.boosting import NewtonConfig, NewtonModel, first_splits
 from parcelflow.plans.model import BoostingConfig, DeliveryRiskModel
 from parcelflow.schemas import ORDER_PAYMENTS, ORDER_TARGETS, STAGING
 from parcelflow.session import checkpoint_folder, materialize
@@ -384,18 +385,46 @@ def metric_report(spark, d):
     return _rounded(metrics.metric_report(a.scores(spark, d)), 9, "value")
 
 
-def gbt_predictions(spark, d, config: BoostingConfig = BoostingConfig()):
-    """Train on the train split, score the validation split."""
+def _learning_rows(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Model inputs of the train and the validation split, written once."""
     dataset = _dataset(spark, d, "non_delivery")
     rows = _split(spark, d, OPTIMIZATION).select("order_id", "split")
     inputs = targets.model_inputs(dataset, keep=("order_id", "target")).join(rows, "order_id")
     inputs = materialize(inputs.where(F.col("split") != s.TEST))
-    model = DeliveryRiskModel.fit(inputs.where(F.col("split") == s.TRAIN), config)
-    return model.predict(
-        inputs.where(F.col("split") == s.VALIDATION), keep=("order_id", "target")
+    return (
+        inputs.where(F.col("split") == s.TRAIN),
+        inputs.where(F.col("split") == s.VALIDATION),
     )
 
 
+def gbt_predictions(spark, d, config: BoostingConfig = BoostingConfig()):
+    """Train on the train split, score the validation split."""
+    train, validation = _learning_rows(spark, d)
+    model = DeliveryRiskModel.fit(train, config)
+    return model.predict(validation, keep=("order_id", "target"))
+
+
+def newton_first_splits(spark, d):
+    """What the best first split by each model input gains on the train split."""
+    dataset = _rounded(_dataset(spark, d, "non_delivery"), 6, "customer_latitude", "customer_longitude")
+    rows = _split(spark, d, OPTIMIZATION).where(F.col("split") == s.TRAIN).select("order_id")
+    train = targets.model_inputs(dataset, keep=("order_id", "target")).join(rows, "order_id")
+    return _rounded(first_splits(train), 5, "gain")
+
+
+def newton_predictions(spark, d, config: NewtonConfig = NewtonConfig(n_estimators=10)):
+    """Second-order trees from the train split score the validation split."""
+    train, validation = _learning_rows(spark, d)
+    model = NewtonModel.fit(train, config)
+    return model.predict(validation, keep=("order_id", "target"))
+
+
+def newton_curve(spark, d, config: NewtonConfig = NewtonConfig(n_estimators=5)):
+    """Loss on the validation split after each tree."""
+    train, validation = _learning_rows(spark, d)
+    return NewtonModel.fit(train, config).evaluation_curve(validation)
+
+
 # --- manifests -------------------------------------------------------------------
 
 
@@ -490,6 +519,9 @@ QUERIES: dict[str, Query] = {
     "roc_auc": roc_auc,
     "metric_report": metric_report,
     "gbt_predictions": gbt_predictions,
+    "newton_first_splits": newton_first_splits,
+    "newton_predictions": newton_predictions,
+    "newton_curve": newton_curve,
     "manifest_row_counts": manifest_row_counts,
     "manifest_compare": manifest_compare,
     "file_hashes": file_hashes,

@@ -7,6 +7,7 @@ from dataclasses import asdict
 from pyspark.sql import functions as F
 
 from parcelflow.plans.ingest import published_model_dataset
+from parcelflow.plans.boosting import NewtonConfig, NewtonModel
 from parcelflow.plans.metrics import metric_report
 from parcelflow.plans.model import BoostingConfig, DeliveryRiskModel
 from parcelflow.plans.split import (
@@ -38,12 +39,13 @@ def optimization_run(
     split_root: str,
     run_root: str,
     task: str = "non_delivery",
-    config: BoostingConfig = BoostingConfig(),
+    config: NewtonConfig | BoostingConfig = NewtonConfig(),
     run_id: str | None = None,
 ) -> str:
     """Train on the train split, score the validation split, record the run and its model.
 
-    Test rows are never read into the model or the metrics.
+    The kind of ``config`` picks the learner; second-order trees also record their loss on the
+    validation rows after each tree. Test rows are never read into the model or the metrics.
     """
     run_id = run_id or new_run_id()
     refuse_recorded(lake.spark, run_root, run_id)
@@ -61,7 +63,8 @@ def optimization_run(
     )
     train = rows.where(F.col("split") == TRAIN)
     validation = rows.where(F.col("split") == VALIDATION)
-    model = DeliveryRiskModel.fit(train, config)
+    learner = NewtonModel if isinstance(config, NewtonConfig) else DeliveryRiskModel
+    model = learner.fit(train, config)
     predictions = materialize(model.predict(validation, keep=("order_id", "target")))
     model.save(model_path(run_root, run_id))
     record_run(
@@ -78,5 +81,6 @@ def optimization_run(
         metric_report(predictions, config.threshold),
         predictions,
         {f.name: f.dataType.simpleString() for f in train.schema.fields},
+        model.evaluation_curve(validation) if learner is NewtonModel else None,
     )
     return run_id

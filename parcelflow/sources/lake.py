@@ -2,7 +2,8 @@
 
 Tables are written under ``run=<id>/<layer>/<table>``. Readers look up the last entry
 of the publish log; a run that fails before it is published leaves the previous run
-in place. Appending the one-row log entry is a single committed file.
+in place. The log has one file for each sequence number, which only one publisher can
+create; a publisher that comes second takes the next number.
 """
 
 from __future__ import annotations
@@ -18,9 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelflow.schemas import CURATED, STAGING
+from parcelflow.sources.commits import put_if_absent, records
 
 RAW, STAGING_LAYER, CURATED_LAYER = "raw", "staging", "curated"
-_LOG_SCHEMA = "sequence bigint, run_id string, published_at timestamp"
+_LOG_SCHEMA = "sequence bigint, run_id string, published_at string"
 
 
 def _schema(layer: str, table: str) -> T.StructType:
@@ -75,29 +77,31 @@ class Lake:
         return f"{self.root.rstrip('/')}/published"
 
     def _last_entry(self):
-        log = read_if_exists(self.spark, self._log, _LOG_SCHEMA)
+        log = records(self.spark, self._log, _LOG_SCHEMA)
         if log is None:
             return None
         # max_by keeps one row however long the log is.
         return log.agg(
-            F.max("sequence").alias("sequence"),
-            F.max_by("run_id", F.struct("sequence", "published_at", "run_id")).alias("run_id"),
+            F.max("sequence").alias("sequence"), F.max_by("run_id", "sequence").alias("run_id")
         ).first()
 
     def is_published(self, run_id: str) -> bool:
-        log = read_if_exists(self.spark, self._log, _LOG_SCHEMA)
+        log = records(self.spark, self._log, _LOG_SCHEMA)
         return log is not None and not log.where(F.col("run_id") == run_id).isEmpty()
 
     def current_run(self) -> str | None:
         entry = self._last_entry()
         return entry["run_id"] if entry else None
 
-    def publish(self, run_id: str) -> None:
-        last = self._last_entry()
-        sequence = (last["sequence"] or 0) + 1 if last else 1
-        entry = self.spark.range(1).select(
-            F.lit(sequence).cast("bigint").alias("sequence"),
-            F.lit(run_id).alias("run_id"),
-            F.current_timestamp().alias("published_at"),
-        )
-        entry.coalesce(1).write.mode("append").parquet(self._log)
+    def publish(self, run_id: str) -> int:
+        """Make a run the current one; the sequence number it got."""
+        while True:
+            last = self._last_entry()
+            sequence = (last["sequence"] or 0) + 1 if last else 1
+            entry = {
+                "sequence": sequence,
+                "run_id": run_id,
+                "published_at": datetime.now(UTC).isoformat(),
+            }
+            if put_if_absent(self.spark, self._log, f"{sequence:012d}", entry):
+                return sequence

@@ -7,7 +7,9 @@ from parcelflow.catalog import QUERIES
 from parcelflow.oracles import ORACLES
 
 FOLDER = "/root/testdata/sf0.001"
-WITHOUT_SQL = {"gbt_predictions", "file_hashes", "table_fingerprint"}
+WITHOUT_SQL = {
+    "gbt_predictions", "newton_predictions", "newton_curve", "file_hashes", "table_fingerprint"
+}
 
 
 @pytest.fixture(scope="module")

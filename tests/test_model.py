@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from parcelflow.plans.boosting import NewtonConfig, NewtonModel
 from parcelflow.plans.experiment import create_split, optimization_run
 from parcelflow.plans.ingest import published_model_dataset
 from parcelflow.plans.metrics import ranking_metrics
@@ -96,6 +97,24 @@ def test_training_rates_do_not_hold_the_own_label(spark):
         assert r.zip_rate == pytest.approx(wanted)
 
 
+def test_run_of_second_order_trees(spark, lake, tmp_path):
+    splits, runs = str(tmp_path / "splits"), str(tmp_path / "runs")
+    create_split(lake, splits, "non_delivery", optimization_split("non_delivery"))
+    config = NewtonConfig(n_estimators=3, min_child_weight=1.0)
+    optimization_run(lake, splits, runs, config=config, run_id="n")
+    metrics = {r["metric"]: r["value"] for r in read_runs(spark, runs, "metrics").collect()}
+    curve = {r["tree"]: r["loss"] for r in read_runs(spark, runs, "curves").collect()}
+    assert sorted(curve) == [0, 1, 2, 3]
+    assert curve[3] == pytest.approx(metrics["validation_loss"], rel=1e-12) and curve[3] < curve[0]
+    assert metrics["validation_roc_auc"] > 0.95
+    dataset = published_model_dataset(lake, "non_delivery")
+    again = NewtonModel.load(spark, model_path(runs, "n")).predict(model_inputs(dataset))
+    both = read_runs(spark, runs, "predictions").join(
+        again.select("order_id", F.col("probability").alias("p")), "order_id"
+    )
+    assert both.count() == 60 and both.where("probability <> p").count() == 0
+
+
 def test_optimization_run_is_recorded_once(spark, lake, tmp_path):
     splits, runs = str(tmp_path / "splits"), str(tmp_path / "runs")
     assert create_split(lake, splits, "non_delivery", optimization_split("non_delivery"))
