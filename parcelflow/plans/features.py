@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,7 @@ from parcelflow.functions import (
     hours_between,
     kilometres,
 )
+from parcelflow.operators.hot_keys import hot_keys, split_by_keys
 from parcelflow.operators.medians import exact_group_medians
 from parcelflow.schemas import FEATURE_COLUMNS, MONEY
 
@@ -112,19 +114,35 @@ def _average(column: str) -> Column:
     return (F.round(mean, 0) * F.lit(Decimal("0.01"))).cast(MONEY)
 
 
-def _distinct(column: str) -> Column:
-    """Number of different values, nulls ignored; Spark spreads the values of a hot group."""
-    return F.countDistinct(column).cast("int")
+def _in_buffer(column: str) -> Column:
+    """Number of different values of a group that fits an aggregation buffer."""
+    return F.size(F.collect_set(column))
 
 
-def item_features(details: DataFrame) -> DataFrame:
-    """Twelve aggregates per order; distinct counts ignore nulls."""
+def item_features(details: DataFrame, items: DataFrame | None = None) -> DataFrame:
+    """Twelve aggregates per order; distinct counts ignore nulls.
+
+    Orders of a bounded number of items count different values in the buffer of one
+    aggregation. Larger orders, found in ``items`` (any table with their order ids), go through
+    Spark's distinct aggregation, which spreads the values of an order at the price of copying
+    every row once for each distinct count.
+    """
+    hot = hot_keys(details if items is None else items, ["order_id"])
+    if hot is None:
+        return _item_aggregates(details, _in_buffer)
+    small, large = split_by_keys(details, hot, ["order_id"])
+    return _item_aggregates(small, _in_buffer).unionByName(
+        _item_aggregates(large, F.countDistinct)
+    )
+
+
+def _item_aggregates(details: DataFrame, distinct: Callable[[str], Column]) -> DataFrame:
     return details.groupBy("order_id").agg(
         F.count("*").cast("int").alias("item_count"),
-        _distinct("product_id").alias("distinct_product_count"),
-        _distinct("product_category_name").alias("distinct_category_count"),
-        _distinct("seller_id").alias("seller_count"),
-        _distinct("seller_state").alias("distinct_seller_state_count"),
+        distinct("product_id").cast("int").alias("distinct_product_count"),
+        distinct("product_category_name").cast("int").alias("distinct_category_count"),
+        distinct("seller_id").cast("int").alias("seller_count"),
+        distinct("seller_state").cast("int").alias("distinct_seller_state_count"),
         F.bool_or(F.col("seller_state") != F.col("customer_state")).alias(
             "has_cross_state_seller"
         ),
@@ -145,7 +163,8 @@ def order_item_features(
     centroids: DataFrame,
 ) -> DataFrame:
     """``item_features`` of the located orders."""
-    return item_features(item_details(order_items, located, sellers, products, centroids))
+    details = item_details(order_items, located, sellers, products, centroids)
+    return item_features(details, order_items)
 
 
 def payment_features(order_payments: DataFrame) -> DataFrame:
