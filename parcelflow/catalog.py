@@ -20,6 +20,7 @@ from parcelflow.plans.model import BoostingConfig, DeliveryRiskModel
 from parcelflow.schemas import ORDER_PAYMENTS, ORDER_TARGETS, STAGING
 from parcelflow.session import checkpoint_folder, materialize
 from parcelflow.sources import manifests
+from parcelflow.sources.csv_ranges import read_raw_ranges
 from parcelflow.sources.raw_csv import read_raw, write_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -218,6 +219,13 @@ def csv_round_trip(spark, d):
     return _digested(staging.stage(read_raw(spark, path, "order_reviews"), "order_reviews"))
 
 
+def csv_ranges(spark, d):
+    """The same file read in ranges that start inside quotes or not."""
+    path = f"{checkpoint_folder(spark)}/csv-{uuid.uuid4().hex}"
+    write_raw(a.raw_order_reviews(spark, d).coalesce(1), path)
+    return _digested(staging.stage(read_raw_ranges(spark, path, "order_reviews"), "order_reviews"))
+
+
 def strict_cast_quarantine(spark, d):
     staged = staging.stage_or_quarantine(a.raw_order_payments(spark, d), "order_payments")
     return _doubles(
@@ -500,6 +508,7 @@ QUERIES: dict[str, Query] = {
     "promised_delivery_days": promised_delivery_days,
     "clean_blank_to_null": clean_blank_to_null,
     "csv_round_trip": csv_round_trip,
+    "csv_ranges": csv_ranges,
     "strict_cast_quarantine": strict_cast_quarantine,
     "cast_violations": cast_violations,
     "not_null_violations": not_null_violations,

@@ -36,12 +36,17 @@ def _side_by_side(load: Callable[[str], DataFrame], names: Iterable[str]) -> dic
 
 
 def load_raw(
-    lake: Lake, folder: str, run_id: str, expected: DataFrame | None = None
+    lake: Lake,
+    folder: str,
+    run_id: str,
+    expected: DataFrame | None = None,
+    reader: Callable[[SparkSession, str, str], DataFrame] = read_raw,
 ) -> dict[str, DataFrame]:
-    """Copy every CSV table; with ``expected`` (table_name, row_count) check the counts."""
+    """Copy every CSV table; with ``expected`` (table_name, row_count) check the counts.
+    ``read_raw_ranges`` as ``reader`` reads large files by many tasks."""
 
     def load(name: str) -> DataFrame:
-        return lake.write(read_raw(lake.spark, raw_path(folder, name), name), run_id, RAW, name)
+        return lake.write(reader(lake.spark, raw_path(folder, name), name), run_id, RAW, name)
 
     tables = _side_by_side(load, STAGING)
     if expected is not None:
@@ -98,12 +103,13 @@ def run_ingestion(
     root: str,
     expected: DataFrame | None = None,
     run_id: str | None = None,
+    reader: Callable[[SparkSession, str, str], DataFrame] = read_raw,
 ) -> str:
     """Load all layers and publish them together; on any failure the previously
     published run stays the visible one."""
     lake = Lake(spark, root)
     run_id = run_id or new_run_id()
-    raw = load_raw(lake, folder, run_id, expected)
+    raw = load_raw(lake, folder, run_id, expected, reader)
     staging = load_staging(lake, raw, run_id)
     load_curated(lake, staging, run_id)
     lake.publish(run_id)

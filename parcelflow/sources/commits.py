@@ -67,3 +67,9 @@ def records(spark: SparkSession, folder: str, schema: str) -> DataFrame | None:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all in it, if there is one."""
+    hadoop, fs = _file_system(spark, path)
+    fs.delete(hadoop, True)

@@ -68,6 +68,45 @@ def test_order_without_children_keeps_nulls(spark, tmp_path):
     assert row["has_credit_card_payment"] is None and row["total_item_value"] is None
 
 
+def test_joins_by_order_read_buckets_in_place(spark, tmp_path):
+    """No shuffle below the joins of the published tables, also for a session that did not
+    write them; a table that was begun before is replaced."""
+    from parcelflow.plans.features import payment_features
+    from parcelflow.plans.targets import order_targets
+    from parcelflow.sources.csv_ranges import read_raw_ranges
+
+    extra = {
+        "orders": [
+            f"order-{i},customer-1,{'canceled' if i % 3 else 'delivered'},2018-02-01 09:00:00,"
+            f"2018-02-01 10:00:00,,{'' if i % 3 else '2018-02-05 00:00:00'},2018-02-09 00:00:00"
+            for i in range(2, 60)
+        ],
+        "order_payments": [f"order-{i},1,boleto,1,{i}.50" for i in range(2, 60)],
+    }
+    root, run = str(tmp_path / "lake"), "r-1"
+    lake = Lake(spark, root, buckets=7)
+    lake.write(spark.range(3).selectExpr("'x' AS order_id"), run, "staging", "orders")
+    folder = write_tables(tmp_path / "raw", extra=extra)
+    run_ingestion(spark, folder, root, run_id=run, reader=read_raw_ranges)
+    for r in spark.sql("SHOW TABLES").where("tableName LIKE 'lake_%'").collect():
+        spark.sql(f"DROP TABLE {r.tableName}")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lake = Lake(spark, root)
+        dataset = published_model_dataset(lake, "non_delivery")
+        targets = order_targets(lake.read("curated", "order_features"), lake.read("staging", "orders"))
+        payments = payment_features(lake.read("staging", "order_payments").select(
+            "order_id", "payment_value", "payment_installments", "payment_type"))
+        for df, n in ((dataset, 59), (targets, 59)):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in plan and "SortMergeJoin" in plan
+            assert df.count() == n
+        assert payments.count() == 59
+        assert spark.read.parquet(lake.path(run, "staging", "orders")).count() == 59
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_failed_run_leaves_the_published_one(spark, tmp_path):
     root = str(tmp_path / "lake")
     good = run_ingestion(spark, write_tables(tmp_path / "good"), root)
