@@ -37,6 +37,7 @@ from parcelflow.llm.arrays import (
     word_hashes,
     word_spans,
 )
+from parcelflow.llm.storage import fresh
 
 RUN = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -214,5 +215,6 @@ def without_leaks(
 ) -> DataFrame:
     """The rows of ``df`` that hold no benchmark item, with all their columns. A row with a
     null id stays unless a leaking row has a null id too."""
-    found = leaks(df, benchmark, id_column, text).select(F.col(id_column).alias("_leak")).distinct()
-    return df.join(found, F.col(id_column).eqNullSafe(F.col("_leak")), "left_anti")
+    leak = fresh(df, "_leak")
+    found = leaks(df, benchmark, id_column, text).select(F.col(id_column).alias(leak)).distinct()
+    return df.join(found, F.col(id_column).eqNullSafe(F.col(leak)), "left_anti")

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelflow.llm.arrays import flat, slices
+from parcelflow.llm.storage import fresh
 
 #: Labelled rows to fit on at most, taken in the order of a hash of the id.
 MOST_ROWS = 3000
@@ -230,7 +231,7 @@ def score(
 
 def keep_good(df: DataFrame, network: Network, text: str = "text") -> DataFrame:
     """The rows of ``df`` that the network does not reject, with all their columns."""
-    name = "_quality_score"
+    name = fresh(df, "_quality_score")
     schema = T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType())])
     scored = df.mapInArrow(_score(network, text, name, True), schema)
     return scored.where(F.col(name) >= THRESHOLD).drop(name)
