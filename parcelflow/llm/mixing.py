@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from parcelflow.llm.storage import write_table
+from parcelflow.llm.storage import fresh, write_table
 
 #: Weights of the sources in order, repeating; fixed by the task.
 WEIGHTS = (5, 2, 1)
@@ -312,8 +312,9 @@ def mixed(
         ]
     )
     owns = spark.createDataFrame(own, own_schema).withColumn("name", name).drop("pattern")
-    # Three small sides: one row a pattern, or the few documents picked on the driver.
-    chosen = later.join(F.broadcast(owns), "name").join(F.broadcast(extra), "row", "left")
+    # One row a pattern is sent to all tasks; Spark decides by size on the documents picked one
+    # by one.
+    chosen = later.join(F.broadcast(owns), "name").join(extra, "row", "left")
     inside = F.exists(
         "spans",
         lambda x: F.col("place").between(x["low"], x["last"]) & (F.col("size") <= x["most"]),
@@ -331,9 +332,9 @@ def mixed(
 
 def mix(df: DataFrame, id_column: str = "doc_id", text: str = "text", sources: str = "source") -> DataFrame:
     """The rows of ``df`` that the mix takes, with all their columns, ``mix_times`` (1 to 3) and
-    ``mix_words``."""
-    row = "_mix_row"
-    rows = write_table(df.withColumn(row, F.monotonically_increasing_id()))
+    ``mix_words``; columns that have these two names are replaced."""
+    row = fresh(df, "_mix_row")
+    rows = write_table(df.drop("mix_times", "mix_words").withColumn(row, F.monotonically_increasing_id()))
     taken = mixed(rows, id_column, text, sources, keep=(row,)).where("taken > 0")
     taken = taken.select(
         row,
