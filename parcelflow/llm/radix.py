@@ -143,21 +143,25 @@ def _second_pass(width: int):
 
 
 def _states(runs: DataFrame) -> DataFrame:
-    """The runs of each text as three lists, with what became of them. Copies are counted
-    before the shuffle; the answer goes back by a join, whose hot keys Spark splits."""
+    """The runs of each text as three lists, with what became of them.
+
+    Copies are counted before the shuffle, and of each group only the run that stands for it
+    travels back, to its own text. Every run without such an answer is repeated, so no task
+    gathers the runs of a group.
+    """
     runs = write_table(runs)
     groups = runs.groupBy("a", "b").agg(
-        F.count("*").alias("n"), F.min(F.struct(ROW, "begin")).alias("stands")
-    )
-    state = (
-        F.when(F.col("n") == 1, ALONE)
-        .when(F.col("stands") == F.struct(ROW, "begin"), STANDS)
-        .otherwise(REPEATED)
+        F.count("*").alias("n"), F.min(F.struct(ROW, "begin", "end")).alias("head")
     )
-    told = runs.join(groups, ["a", "b"]).select(
-        ROW, F.struct("begin", "end", state.alias("state")).alias("run")
+    alone = F.when(F.col("n") == 1, ALONE).otherwise(STANDS)
+    heads = groups.select("head.*", alone.alias("state"))
+    every = runs.select(ROW, "begin", "end", F.lit(None).cast("int").alias("state"))
+    # Dealt by text once; both groupings below work on that.
+    dealt = every.unionByName(heads).repartition(ROW)
+    told = dealt.groupBy(ROW, "begin", "end").agg(
+        F.coalesce(F.max("state"), F.lit(REPEATED)).alias("state")
     )
-    lists = told.groupBy(ROW).agg(F.collect_list("run").alias("runs"))
+    lists = told.groupBy(ROW).agg(F.collect_list(F.struct("begin", "end", "state")).alias("runs"))
     return lists.select(ROW, *[F.col(f"runs.{c}").alias(c) for c in ("begin", "end", "state")])
 
 
