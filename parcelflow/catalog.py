@@ -360,6 +360,10 @@ def split_class_coverage(spark, d):
     return s.split_class_coverage(_split(spark, d, OPTIMIZATION), OPTIMIZATION.names)
 
 
+def split_members(spark, d):
+    return s.split_members(_labelled(spark, d), _split(spark, d, OPTIMIZATION), OPTIMIZATION.names)
+
+
 # --- model and metrics -----------------------------------------------------------
 
 
@@ -522,6 +526,7 @@ QUERIES: dict[str, Query] = {
     "split_overlap": split_overlap,
     "split_coverage": split_coverage,
     "split_class_coverage": split_class_coverage,
+    "split_members": split_members,
     "threshold_confusion": threshold_confusion,
     "log_loss_accuracy": log_loss_accuracy,
     "average_precision": average_precision,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -152,6 +153,24 @@ def split_class_coverage(
     )
 
 
+def split_members(
+    dataset: DataFrame, assignment: DataFrame, names: Sequence[str]
+) -> DataFrame:
+    """One row for each split, empty ones too: its orders, how many of them the assignment names
+    more than once, and how many are not in the dataset."""
+    spark = assignment.sparkSession
+    times = assignment.groupBy("order_id").agg(F.count("*").alias("times"))
+    known = dataset.select("order_id", F.lit(True).alias("known")).distinct()
+    marked = assignment.join(times, "order_id").join(known, "order_id", "left")
+    counts = marked.groupBy("split").agg(
+        F.count("*").alias("row_count"),
+        F.count_if(F.col("times") > 1).alias("repeated_count"),
+        F.count_if(F.col("known").isNull()).alias("unknown_count"),
+    )
+    every = spark.createDataFrame([(n,) for n in names], "split string")
+    return every.join(counts, "split", "left").na.fill(0)
+
+
 def validate_split(dataset: DataFrame, assignment: DataFrame, config: SplitConfig) -> None:
     """Raise unless the splits are non-empty, disjoint, complete and hold every class.
 

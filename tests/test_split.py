@@ -149,3 +149,15 @@ def test_splits_outside_the_config_are_refused(spark):
     df = spark.createDataFrame(rows, "order_id string, target int, split string")
     with pytest.raises(SplitError, match="validation"):
         validate_split(df, df, final_evaluation_split("non_delivery"))
+
+
+def test_members_of_a_damaged_split(spark):
+    from parcelflow.plans.split import split_members
+
+    dataset = spark.createDataFrame([(i, 0) for i in range(6)], "order_id int, target int")
+    rows = [(0, "train"), (1, "train"), (1, "test"), (2, "test"), (2, "test"), (99, "train")]
+    assignment = spark.createDataFrame(rows, "order_id int, split string")
+    found = split_members(dataset, assignment, ("train", "validation", "test")).collect()
+    assert {r.split: tuple(r)[1:] for r in found} == {
+        "train": (3, 1, 1), "validation": (0, 0, 0), "test": (3, 3, 0)
+    }
