@@ -3,11 +3,14 @@
 The benchmark is a stated query set: it is worked through in blocks of items of bounded size,
 each held in memory by the tasks, against all rows.
 
-1. Seeds: every run of three words of an item, rare or not, so that the search does not depend
-   on what else the corpus holds, nor on its size.
+1. Seeds: the runs of three words of the items. A run that at most ``RARE`` items of the block
+   hold is rare and a seed by itself. Rarity is judged within the benchmark, so that the search
+   does not depend on what else the corpus holds, nor on its size.
 2. Seeds join: all runs of three words of all documents meet the seeds; hits of an item that
-   lie close together make a passage. A passage that shares too few words with the item to reach
-   the similarity is let go: no alignment can match more words than both have.
+   lie close together make a passage. It counts with a rare run, or with two different common ones:
+   what many items share, a stock phrase, is no sign of any of them by a single run.
+   A passage that shares too few words with the item to reach the similarity is let go: no
+   alignment can match more words than both have.
 3. The passage, with two item lengths on both sides, is aligned with the whole item (match 2,
    mismatch -1, gap -1). The score over the highest possible one is the similarity.
 
@@ -42,6 +45,10 @@ from parcelflow.llm.storage import fresh
 RUN = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 SIMILAR = 0.5
+#: A run is rare if at most so many items of a block hold it.
+RARE = 16
+#: Pairs of a hit and an item that a task holds at a time; more are dealt by ranges of items.
+HELD_PAIRS = 1_000_000
 #: Bytes of benchmark text that are held at a time.
 BLOCK_BYTES = 4_000_000
 
@@ -64,15 +71,37 @@ def _hashed_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _seeds(words: np.ndarray, first: np.ndarray):
-    """Hashes of the items' runs in order, and the item that each comes from."""
+    """Hashes of the items' runs in order, where the items of each begin, and those items in
+    order; the last entry of the beginnings is their number."""
     places = starts_inside(first, RUN)
     hashes, item = Substrings(words).all_of(RUN)[places], owners(first, places)
     # A run that an item repeats is one seed.
     order = np.lexsort((item, hashes))
     hashes, item = hashes[order], item[order]
-    new = np.ones(len(hashes), bool)
-    new[1:] = (hashes[1:] != hashes[:-1]) | (item[1:] != item[:-1])
-    return hashes[new], item[new]
+    new_run = np.ones(len(hashes), bool)
+    new_run[1:] = hashes[1:] != hashes[:-1]
+    new = new_run.copy()
+    new[1:] |= item[1:] != item[:-1]
+    item, new_run = item[new], new_run[new]
+    return hashes[new][new_run], np.append(np.flatnonzero(new_run), len(item)), item
+
+
+def _pairs(place: np.ndarray, run: np.ndarray, n_items: int) -> Iterator[tuple]:
+    """For the hits of the runs ``run``: which hit, and an item that holds its run, in parts of
+    at most ``HELD_PAIRS`` or of a single item. ``place`` is ``run * n_items + item`` of every
+    seed in order, so the items of a run in any range lie side by side."""
+    todo = [(0, n_items)]
+    while todo:
+        low, high = todo.pop()
+        start = np.searchsorted(place, run * n_items + low)
+        many = np.searchsorted(place, run * n_items + high) - start
+        total = int(many.sum())
+        if total > HELD_PAIRS and high - low > 1:
+            todo += [((low + high) // 2, high), (low, (low + high) // 2)]
+        elif total:
+            hit = np.repeat(np.arange(len(run)), many)
+            at = np.arange(total) + np.repeat(start - (np.cumsum(many) - many), many)
+            yield hit, place[at] % n_items
 
 
 def aligned(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int]:
@@ -102,7 +131,9 @@ def aligned(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int]:
 
 
 def _find(items: list[np.ndarray], names: list, seeds, similar: float, kinds: tuple):
-    hashes, seed_item = seeds
+    hashes, begin, item_of = seeds
+    rare = np.diff(begin) <= RARE
+    place = np.repeat(np.arange(len(hashes)), np.diff(begin)) * len(items) + item_of
     length = np.array([len(x) for x in items], np.int64)
     # The words of each item in order, and how often it has each.
     counted = [np.unique(x, return_counts=True) for x in items]
@@ -114,16 +145,22 @@ def _find(items: list[np.ndarray], names: list, seeds, similar: float, kinds: tu
         seen = np.bincount(at[own[at] == passage], minlength=len(own))
         return int(np.minimum(seen, times).sum())
 
-    def passages(hit_item, hit_at):
-        """Item, first and last word of hits of one item that lie close together."""
-        order = np.lexsort((hit_at, hit_item))
-        hit_item, hit_at = hit_item[order], hit_at[order]
-        reach = length[hit_item]
-        new = np.ones(len(hit_item), bool)
-        new[1:] = (hit_item[1:] != hit_item[:-1]) | (np.diff(hit_at) > 2 * reach[1:])
-        begin = np.flatnonzero(new)
-        end = np.append(begin[1:], len(new)) - 1
-        return hit_item[begin], hit_at[begin], hit_at[end]
+    def passages(item, at, text, run):
+        """Text, item, first and last word of the passages that count."""
+        order = np.lexsort((at, item))
+        item, at, text, run = item[order], at[order], text[order], run[order]
+        new = np.ones(len(item), bool)
+        new[1:] = (
+            (item[1:] != item[:-1])
+            | (text[1:] != text[:-1])
+            | (np.diff(at) > 2 * length[item[1:]])
+        )
+        begins = np.flatnonzero(new)
+        last = np.append(begins[1:], len(new)) - 1
+        counts = np.logical_or.reduceat(rare[run], begins)
+        counts |= np.minimum.reduceat(run, begins) != np.maximum.reduceat(run, begins)
+        begins, last = begins[counts], last[counts]
+        return text[begins], item[begins], at[begins], at[last]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "body"):
@@ -132,27 +169,21 @@ def _find(items: list[np.ndarray], names: list, seeds, similar: float, kinds: tu
             places = places[is_in(Substrings(words).all_of(RUN)[places], hashes)]
             if not len(places):
                 continue
-            runs = Substrings(words).between(places, places + RUN)
-            low, high = np.searchsorted(hashes, runs), np.searchsorted(hashes, runs, "right")
-            many = high - low
-            at = np.repeat(places, many)
-            which = np.arange(many.sum()) + np.repeat(low - (np.cumsum(many) - many), many)
-            text = owners(first, at)
-            ids = batch.column("id").to_pylist()
-            found: list[tuple] = []
-            for t in np.unique(text):
-                own = text == t
-                best: dict[int, tuple] = {}
-                for i, a, b in zip(*passages(seed_item[which[own]], at[own])):
+            run_of = np.searchsorted(hashes, Substrings(words).between(places, places + RUN))
+            text_of = owners(first, places)
+            best: dict[tuple, tuple] = {}
+            for hit, item in _pairs(place, run_of, len(items)):
+                for t, i, a, b in zip(*passages(item, places[hit], text_of[hit], run_of[hit])):
                     # With a gap for each word more, no alignment of an item reaches further.
                     reach = 2 * len(items[i]) + RUN
                     a, b = max(int(first[t]), a - reach), min(int(first[t + 1]), b + reach + RUN)
                     if shared(i, words[a:b]) < similar * len(items[i]):
                         continue
                     value, start, stop = aligned(items[i], words[a:b])
-                    if value >= similar and value > best.get(i, (0,))[0]:
-                        best[i] = (value, int(a - first[t] + start), int(a - first[t] + stop))
-                found += [(ids[t], names[i], *x) for i, x in best.items()]
+                    if value >= similar and value > best.get((t, i), (0,))[0]:
+                        best[t, i] = (value, int(a - first[t] + start), int(a - first[t] + stop))
+            ids = batch.column("id").to_pylist()
+            found = [(ids[t], names[i], *x) for (t, i), x in best.items()]
             if found:
                 columns = list(zip(*found))
                 yield pa.RecordBatch.from_arrays(
@@ -181,8 +212,8 @@ def leaks(
     """One row for each document and benchmark item that it holds: id, ``item_id``,
     ``similarity`` (``similar`` to 1) and the first and last word of the best passage.
 
-    Items shorter than three words have no run and are never found; null and empty texts on
-    either side match nothing; repeated items are each reported, and so are repeated rows and
+    Items shorter than three words have no run and are never found, nor are copies that keep no
+    rare run and but one common one; null and empty texts on either side match nothing; repeated items are each reported, and so are repeated rows and
     null ids. Other columns are ignored. Nothing found, or an empty table: no rows.
     """
     id_type = df.schema[id_column].dataType.simpleString()

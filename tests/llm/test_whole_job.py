@@ -84,6 +84,37 @@ def test_copies_without_their_rare_words(spark):
     assert {(i, i) for i, _ in items} <= {(r.doc_id, r.item_id) for r in got}
 
 
+def test_stock_phrases_of_many_items(spark):
+    """A run that all items share finds none of them alone; two near each other do, as loops say."""
+    stock, tail = "which of the following is", "mark one letter and go on"
+    items = [(i, f"{stock} " + " ".join(f"w{i}x{k}" for k in range(4)) + f" {tail}") for i in range(40)]
+    items += [(100 + i, f"{stock} n{i} the of is") for i in range(3)]
+    docs = [(0, f"he asked {stock[13:]} " * 50), (1, items[3][1]), (2, f"so {stock} a b c d {tail} end")]
+    docs += [(3, "x " + items[5][1].replace("w5x2", "other")), (4, None), (5, f"{stock} n1 n2 the of is")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = leaks.leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    wanted = {}
+    for d, text in docs:
+        for i, item in items:
+            value = leaks.aligned(np.array(item.split()), np.array(text.split()))[0] if text else 0
+            if value >= leaks.SIMILAR:
+                wanted[d, i] = value
+    assert {(r.doc_id, r.item_id): r.similarity for r in got} == pytest.approx(wanted)
+    assert {(1, 3), (3, 5), (2, 0), (2, 39)} <= set(wanted) and not any(d == 0 for d, _ in wanted)
+
+
+def test_hits_meet_items_in_bounded_parts(monkeypatch):
+    rng = np.random.default_rng(5)
+    monkeypatch.setattr(leaks, "HELD_PAIRS", 50)
+    held = np.unique(rng.integers(0, 2, (9, 30)) * np.arange(1, 271).reshape(9, 30)) - 1
+    place = held[held >= 0]
+    run = rng.integers(0, 9, 25)
+    parts = list(leaks._pairs(place, run, 30))
+    got = sorted((int(h), int(i)) for hit, item in parts for h, i in zip(hit, item))
+    assert got == sorted((h, int(p) % 30) for h, r in enumerate(run) for p in place if p // 30 == r)
+    assert len(parts) > 5 and all(len(hit) <= 50 or len(set(item)) == 1 for hit, item in parts)
+
+
 def test_bare_text_around_a_quotation():
     lines = [" ".join(f"line{k}word{j}" for j in range(8)) for k in range(12)]
     quote = ["A quoted paragraph that says something at length. " * 9, "Another one that goes on for a while. " * 9]
