@@ -106,29 +106,75 @@ def judged_by_loops(rows, rules):
         ]
         said.append(max(fits, key=lambda r: len(r[0]), default=(None, None)))
         parts = re.sub("^/|/$", "", path).split("/")
-        shaped = ["*" if re.search("[0-9]", x) else x for x in parts][: urls.DEPTH]
-        shaped += [""] * (urls.DEPTH - len(shaped)) + ["*" if len(parts) > urls.DEPTH else ""]
-        ways.append([host.split(".")[-1], host, *shaped])
-    for k in range(2, urls.DEPTH + 3):
-        children = defaultdict(Counter)
-        for way in ways:
-            children[tuple(way[:k])][way[k]] += 1
-        for way in ways:
-            own = children[tuple(way[:k])]
-            if len(own) >= urls.VARIABLE_CHILDREN and len(own) > urls.VARIABLE_SHARE * sum(own.values()):
-                way[k] = "*"
-    blocked, labelled = Counter(), Counter()
+        shaped = ["*" if re.search("[0-9]", x) else x for x in parts]
+        ways.append((host.split(".")[-1], host, *shaped))
+    counts = defaultdict(lambda: [0, 0, 0])
     for way, (_, verdict) in zip(ways, said):
-        for k in range(len(way) + 1):
-            blocked[tuple(way[:k])] += verdict == "block"
-            labelled[tuple(way[:k])] += verdict is not None
+        for k, add in enumerate((1, verdict is not None, verdict == "block")):
+            counts[way][k] += add
+    total = [sum(c[k] for c in counts.values()) for k in range(3)]
+    purity = {}
+
+    def grow(members, prior, level):
+        """Purity of every way of ``members``, which share a node of purity ``prior``."""
+        own = defaultdict(list)
+        for way in members:
+            own[way[level] if level < len(way) else ""].append(way)
+        branches = defaultdict(list)
+        names = labels_by_loops(own, counts, prior) if level > 1 else {x: x for x in own}
+        for child, inside in own.items():
+            branches[names[child]] += inside
+        for name, inside in branches.items():
+            k, b = (sum(counts[w][x] for w in inside) for x in (1, 2))
+            value = prior
+            if len(branches) > 1 and k and abs(b / k - prior) > 2 * math.sqrt(prior * (1 - prior) / k):
+                value = (b + urls.PRIOR * prior) / (k + urls.PRIOR)
+            if level > 1 and (len(inside) == 1 or name == ""):
+                purity.update({w: value for w in inside})
+            else:
+                grow(inside, value, level + 1)
+
+    if rows:
+        grow(list(counts), (total[2] + urls.PRIOR / 2) / (total[1] + urls.PRIOR), 0)
     for way, (rule, verdict) in zip(ways, said):
-        purity = (blocked[()] + urls.PRIOR / 2) / (labelled[()] + urls.PRIOR)
-        for k in range(1, len(way) + 1):
-            b, n = blocked[tuple(way[:k])], labelled[tuple(way[:k])]
-            if n and abs(b / n - purity) > 2 * math.sqrt(purity * (1 - purity) / n):
-                purity = (b + urls.PRIOR * purity) / (n + urls.PRIOR)
-        yield rule, verdict or ("block" if purity >= urls.REJECT else "allow"), purity
+        yield rule, verdict or ("block" if purity[way] >= urls.REJECT else "allow"), purity[way]
+
+
+def labels_by_loops(own, counts, prior):
+    """The branch that each child of a node becomes."""
+    n, known, blocked = ({x: sum(counts[w][k] for w in ws) for x, ws in own.items()} for k in range(3))
+    inner = [x for x in own if x != ""]
+    names = {x: x for x in own}
+    if len(inner) >= urls.VARIABLE_CHILDREN and len(inner) > urls.VARIABLE_SHARE * sum(n[x] for x in inner):
+        return {x: "*" if x else "" for x in own}
+    told = [x for x in inner if known[x]]
+    if len(told) < 2:
+        return names
+    k, b = sum(known[x] for x in told), sum(blocked[x] for x in told)
+    scatter = sum(known[x] * (blocked[x] / known[x] - b / k) ** 2 for x in told)
+    free = len(told) - 1
+    if scatter <= b / k * (1 - b / k) * (free + 2 * math.sqrt(2 * free)) + 1e-9:
+        return {**names, **{x: "*0" for x in told}}
+    pools = defaultdict(list)
+    for x in told:
+        smoothed = (blocked[x] + urls.PRIOR * prior) / (known[x] + urls.PRIOR)
+        pools[min(int(math.asin(math.sqrt(smoothed)) * 2 * urls.POOLS / math.pi), urls.POOLS - 1)].append(x)
+    sums = sorted((sum(blocked[x] for x in xs) / sum(known[x] for x in xs), p, xs) for p, xs in pools.items())
+    groups = []
+    for share, _, xs in sums:
+        k1 = sum(known[x] for x in xs)
+        if groups:
+            share0, k0 = last
+            both = (share0 * k0 + share * k1) / (k0 + k1)
+            near = abs(share - share0) <= 2 * math.sqrt(max(both * (1 - both), 0) * (1 / k0 + 1 / k1))
+        if groups and near:
+            groups[-1] += xs
+        else:
+            groups.append(list(xs))
+        last = (share, k1)
+    for g, xs in enumerate(groups):
+        names.update({x: x if len(xs) == 1 else f"*{g + 1}" for x in xs})
+    return names
 
 
 @pytest.mark.parametrize("rules", [urls.RULES, (("net/", "block"), ("org/en/", "block"), ("com/", "allow"))])
@@ -139,3 +185,67 @@ def test_verdicts_equal_loops(spark, rules):
     got = {r.page_id: r for r in urls.judged(pages, rules=rules).collect()}
     assert {k: r[:2] for k, r in wanted.items()} == {k: (r.rule, r.verdict) for k, r in got.items()}
     assert {k: r.purity for k, r in got.items()} == pytest.approx({k: r[2] for k, r in wanted.items()})
+
+
+def made_urls(spark, counts):
+    """URLs of one host from (start of a path, how many); a page number ends each."""
+    rows = [f"http://h.net/{way}/{k}" for way, n in counts for k in range(n)]
+    return spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+
+
+def thin_siblings():
+    """Twenty folders of three blocked URLs, twenty of three allowed ones, none telling alone."""
+    bad, good = [f"bad{chr(97 + k)}/x" for k in range(20)], [f"good{chr(97 + k)}/x" for k in range(20)]
+    rules = [(f"h.net/{x}", "block") for x in bad] + [(f"h.net/{x}", "allow") for x in good]
+    return bad, good, tuple(rules)
+
+
+def test_thin_siblings_are_rejected_together(spark):
+    bad, good, rules = thin_siblings()
+    unknown = [(x[:-1] + "new", 2) for x in bad] + [(x[:-1] + "new", 2) for x in good]
+    df = made_urls(spark, [(x, 3) for x in bad + good] + unknown)
+    got = urls.judged(df, rules=rules).where("rule is null").collect()
+    assert len(got) == 80
+    assert {r.path.split("/")[1][:3] for r in got if r.verdict == "block"} == {"bad"}
+    assert all((r.verdict == "block") == r.path.startswith("/bad") for r in got)
+    wanted = judged_by_loops([(r.page_id, r.url) for r in df.collect()], rules)
+    told = {r.page_id: r.purity for r in urls.judged(df, rules=rules).collect()}
+    assert told == pytest.approx({k: w[2] for k, w in enumerate(wanted)})
+
+
+def test_chance_alone_merges_into_one_branch(spark):
+    """Folders with three URLs each, blocked by a coin: those of all heads are no group."""
+    ways = [f"{chr(97 + a)}{chr(97 + b)}" for a in range(12) for b in range(12)]
+    rows = [("h.net", f"/{x}/p{c}", ("allow", "block")[hash_bit(x, c)]) for x in ways for c in "xyz"]
+    rows += [("h.net", f"/{x}/new", None) for x in ways]
+    df = spark.createDataFrame(rows, "host string, path string, verdict string")
+    got = [r for r in urls.template_purity(df).collect() if r.way[1] == "new"]
+    assert len(got) == 144 and max(r.purity for r in got) < urls.REJECT
+    assert {r.template.split("/")[1] for r in got} == {"*0"}
+
+
+def hash_bit(text, k):
+    import zlib
+
+    return zlib.crc32(f"{text}{k}".encode()) >> 7 & 1
+
+
+def test_templates_differ_at_any_depth(spark):
+    deep = "/".join("abcdefgh")
+    rules = ((f"h.net/{deep}/bad", "block"), (f"h.net/{deep}/good", "allow"))
+    df = made_urls(spark, [(f"{deep}/bad", 40), (f"{deep}/good", 40), (f"{deep}/other", 3)])
+    got = urls.judged(df, rules=rules).collect()
+    purity = {r.template.split("/")[9]: r.purity for r in got}
+    assert purity["bad"] > 0.8 > 0.6 > purity["other"] > 0.4 > 0.2 > purity["good"]
+
+
+def test_urls_of_awkward_rows(spark):
+    rows = [(1, None), (2, ""), (3, "no scheme"), (4, "http://"), (5, "http://h//a//b/"), (5, "http://h//a//b/"),
+            (None, "http://H.org/?q"), (6, "http://h/" + "a/" * 300 + "1"), (7, "://x/%20/\n")]
+    df = spark.createDataFrame(rows, "page_id long, url string").selectExpr(
+        "*", "1 as host", "2 as way", "3 as node", "4 as seg", "5 as purity", "6 as id"
+    )
+    got = urls.judged(df).collect()
+    assert sorted(r.page_id or 0 for r in got) == sorted(k or 0 for k, _ in rows)
+    assert {r.verdict for r in got} == {"allow"}
+    assert urls.judged(df.limit(0)).collect() == []
