@@ -1,6 +1,7 @@
 """Exact, near and substring dedup against plain Python, with awkward rows."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -109,6 +110,57 @@ def test_near_groups_equal_brute_force(spark, rows, which):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got.collect() if r.doc_id)
 
 
+def test_large_families_equal_brute_force(spark, monkeypatch):
+    """Chains, a group of copies and two groups just apart, in families of many small chunks."""
+    draw = random.Random(5)
+    texts = []
+
+    def chain(x, steps, changes):
+        for _ in range(steps):
+            texts.append(" ".join(x))
+            x = x.copy()
+            for _ in range(changes):
+                x[draw.randrange(len(x))] = f"v{draw.randrange(10**6)}"
+        return x
+
+    base = [f"w{i}" for i in range(300)]
+    chain(base, 90, 2)
+    for _ in range(60):
+        chain(base, 1, 0)
+        texts[-1] += f" end{len(texts)}"
+    far = base.copy()
+    far[::23] = ["far"] * len(far[::23])
+    for _ in range(50):
+        texts.append(" ".join(far) + f" far{len(texts)}")
+    chain([f"u{i}" for i in range(80)], 40, 3)
+    data = list(enumerate(draw.sample(texts, len(texts))))
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    calls = []
+    across = near._across
+    monkeypatch.setattr(near, "SET_CHUNK", 4)
+    monkeypatch.setattr(near, "_across", lambda parts: calls.append(1) or across(parts))
+    got = near.near_groups(df, words=3, share=(85, 100))
+    assert ordered(r[:3] for r in got.collect()) == ordered(linked(data, 3, (85, 100)))
+    assert calls
+
+
+def test_cells_across_parts(spark):
+    """Every pair of members of different parts meets; two chunks of the largest part never do."""
+    rows = [(k, 7, 0 if k < 1500 else 1500 if k < 1800 else k) for k in range(2100)]
+    cells = near._across(spark.createDataFrame(rows, f"{near.ROW} long, meet long, part long")).collect()
+    chunk = {r[near.ROW]: r.chunk for r in cells}
+    seats = {(r[near.ROW], r.i, r.j) for r in cells}
+    assert len(seats) == len(cells)
+    base = {chunk[k] for k in range(1500)}
+    assert not base & {chunk[k] for k in range(1500, 2100)}
+    assert not any(i in base and j in base for _, i, j in seats)
+    draw = random.Random(3)
+    for _ in range(20_000):
+        a, b = draw.randrange(2100), draw.randrange(1500, 2100)
+        i, j = sorted((chunk[a], chunk[b]))
+        assert (a, i, j) in seats and (b, i, j) in seats
+
+
 def test_near_copies_leave_one_row_a_group(spark, rows):
     left = near.drop_near_copies(rows)
     assert left.columns == rows.columns
