@@ -376,7 +376,7 @@ def _exact_components(
     found = links(in_chunks(members, sizes, 0))
     large = members.join(sizes.where(F.col("size") > SET_CHUNK).select("meet"), "meet")
     large = write_table(large)
-    salt, before = 0, None
+    salt, before, met = 0, None, False
     while True:
         known = write_table(components(found))
         part = F.coalesce("root", ROW).alias("part")
@@ -384,12 +384,13 @@ def _exact_components(
         parts = write_table(parts)
         heads = parts.where(F.col(ROW) == F.col("part"))
         apart = heads.groupBy("meet").agg(count).where("size > 1")
-        now = apart.agg(F.sum("size")).first()[0]
+        now, most = apart.agg(F.sum("size"), F.max("size")).first()
         if not now:
             return known
-        if before is not None and 2 * now > before:
+        # Heads that have all met in one chunk have nothing more to find.
+        if before is not None and (2 * now > before or met):
             break
-        salt, before = salt + 1, now
+        salt, before, met = salt + 1, now, most <= SET_CHUNK
         found = found.union(links(in_chunks(heads, apart, salt)))
     found = found.union(links(_across(parts.join(apart.select("meet"), "meet"))))
     return components(found)
