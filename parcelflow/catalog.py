@@ -13,7 +13,7 @@ from parcelflow import adapters as a
 from parcelflow.operators import profiling, quality
 from parcelflow.operators.prefix import global_rank
 from parcelflow.plans import features as f
-from parcelflow.plans import history, metrics, staging, targets
+from parcelflow.plans import durations, history, metrics, staging, targets
 from parcelflow.plans import split as s
 from parcelflow.plans.boosting import NewtonConfig, NewtonModel, first_splits
 from parcelflow.plans.model import BoostingConfig, DeliveryRiskModel
@@ -490,6 +490,10 @@ def review_history(spark, d):
     )
 
 
+def step_durations(spark, d):
+    return durations.step_durations(a.orders(spark, d))
+
+
 QUERIES: dict[str, Query] = {
     "profile_order_status": profile_order_status,
     "profile_outcome_groups": profile_outcome_groups,
@@ -542,4 +546,5 @@ QUERIES: dict[str, Query] = {
     "table_fingerprint": table_fingerprint,
     "delivery_history": delivery_history,
     "review_history": review_history,
+    "step_durations": step_durations,
 }
