@@ -21,7 +21,7 @@ from parcelflow.schemas import ORDER_PAYMENTS, ORDER_TARGETS, STAGING
 from parcelflow.session import checkpoint_folder, materialize
 from parcelflow.sources import manifests
 from parcelflow.sources.csv_ranges import read_raw_ranges
-from parcelflow.sources.raw_csv import read_raw, write_raw
+from parcelflow.sources.raw_csv import read_raw, write_raw, write_raw_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -220,9 +220,9 @@ def csv_round_trip(spark, d):
 
 
 def csv_ranges(spark, d):
-    """The same file read in ranges that start inside quotes or not."""
+    """The same rows in large files, read in ranges that start inside quotes or not."""
     path = f"{checkpoint_folder(spark)}/csv-{uuid.uuid4().hex}"
-    write_raw(a.raw_order_reviews(spark, d).coalesce(1), path)
+    write_raw_files(a.raw_order_reviews(spark, d), path)
     return _digested(staging.stage(read_raw_ranges(spark, path, "order_reviews"), "order_reviews"))
 
 

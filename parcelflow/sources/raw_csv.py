@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from parcelflow.schemas import DATASET_FILES, STAGING, Table
 
+#: Text of a file that one task writes: several ranges of Spark's 128 MB.
+FILE_BYTES = 320_000_000
+
 
 def raw_path(folder: str, table: str) -> str:
     return f"{folder.rstrip('/')}/{DATASET_FILES[table]}"
@@ -51,3 +55,11 @@ def write_raw(df: DataFrame, path: str) -> None:
         ignoreTrailingWhiteSpace=False,
         mode="errorifexists",
     )
+
+
+def write_raw_files(df: DataFrame, path: str, file_bytes: int | None = None) -> None:
+    """``write_raw`` into files of about ``file_bytes`` of text, one where there is no more. Each
+    is written by one task from its share of the rows, however many there are."""
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in df.columns), F.lit(0).cast("long"))
+    total = df.agg(F.sum(size)).first()[0] or 0
+    write_raw(df.repartition(total // (file_bytes or FILE_BYTES) + 1), path)

@@ -4,7 +4,11 @@ import random
 
 import pytest
 
+from parcelflow import catalog
+from parcelflow.adapters import TABLE_SCHEMAS
 from parcelflow.schemas import STAGING
+from parcelflow.session import checkpoint_folder
+from parcelflow.sources import raw_csv
 from parcelflow.sources.csv_ranges import read_raw_ranges
 from parcelflow.sources.raw_csv import read_raw, write_raw
 
@@ -111,3 +115,21 @@ def test_header_alone_and_empty_file(spark, tmp_path):
     (tmp_path / "a.csv").write_text(",".join(columns))
     (tmp_path / "b.csv").write_text("")
     assert read_raw_ranges(spark, str(tmp_path), "sellers").collect() == []
+
+
+def test_the_query_writes_files_of_bounded_size(spark, tmp_path, ranges_of, monkeypatch):
+    chance = random.Random(7)
+    docs = [(i, (values(chance) or "") + "\n" * 50, "en", "s", 1) for i in range(300)]
+    labels = [(i, 1, 0) for i in range(0, 300, 2)]
+    for name, rows in (("documents", docs), ("labels", labels)):
+        spark.createDataFrame(rows, TABLE_SCHEMAS[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    monkeypatch.setattr(raw_csv, "FILE_BYTES", 4000)
+    ranges_of(1000)
+    paths = []
+    read = catalog.read_raw_ranges
+    monkeypatch.setattr(catalog, "read_raw_ranges", lambda s, path, t: paths.append(path) or read(s, path, t))
+    found = catalog.csv_ranges(spark, str(tmp_path))
+    assert ordered(found) == ordered(catalog.csv_round_trip(spark, str(tmp_path)))
+    files = spark.read.text(paths[0]).select("_metadata.file_path", "_metadata.file_size").distinct().collect()
+    assert len(files) >= 5 and max(f.file_size for f in files) < 8000
+    assert paths[0].startswith(checkpoint_folder(spark)) and found.count() == 150
