@@ -52,9 +52,9 @@ def _located(spark, d) -> tuple[DataFrame, DataFrame]:
     return centroids, f.located_orders(a.orders(spark, d), a.customers(spark, d), centroids)
 
 
-def order_features(spark: SparkSession, d: str) -> DataFrame:
+def order_features(spark: SparkSession, d: str, orders: DataFrame | None = None) -> DataFrame:
     return f.order_features(
-        a.orders(spark, d),
+        a.orders(spark, d) if orders is None else orders,
         a.customers(spark, d),
         a.order_items(spark, d),
         a.order_payments(spark, d),
@@ -64,19 +64,20 @@ def order_features(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _dataset(spark, d, task) -> DataFrame:
-    labels = targets.order_labels(a.orders(spark, d))
-    return targets.model_dataset(order_features(spark, d), labels, task)
+def _dataset(spark, d, task, orders: DataFrame | None = None) -> DataFrame:
+    orders = a.orders(spark, d) if orders is None else orders
+    return targets.model_dataset(order_features(spark, d, orders), targets.order_labels(orders), task)
 
 
 def _labelled(spark, d, task="non_delivery") -> DataFrame:
     return targets.labelled_orders(a.orders(spark, d), task)
 
 
-def _split(spark, d, config: s.SplitConfig) -> DataFrame:
+def _split(spark, d, config: s.SplitConfig, orders: DataFrame | None = None) -> DataFrame:
     # The split scans its input a few times: derive the narrow rows once, as the
     # published tables of a real run would be.
-    return s.chronological_split(materialize(_labelled(spark, d)), config)
+    labelled = _labelled(spark, d) if orders is None else targets.labelled_orders(orders, "non_delivery")
+    return s.chronological_split(materialize(labelled), config)
 
 
 OPTIMIZATION = s.optimization_split("non_delivery")
@@ -399,8 +400,10 @@ def metric_report(spark, d):
 
 def _learning_rows(spark, d) -> tuple[DataFrame, DataFrame]:
     """Model inputs of the train and the validation split, written once."""
-    dataset = _dataset(spark, d, "non_delivery")
-    rows = _split(spark, d, OPTIMIZATION).select("order_id", "split")
+    # Features, labels and split read the orders; their dates come from all items.
+    orders = materialize(a.orders(spark, d))
+    dataset = _dataset(spark, d, "non_delivery", orders)
+    rows = _split(spark, d, OPTIMIZATION, orders).select("order_id", "split")
     inputs = targets.model_inputs(dataset, keep=("order_id", "target")).join(rows, "order_id")
     inputs = materialize(inputs.where(F.col("split") != s.TEST))
     return (
@@ -418,8 +421,12 @@ def gbt_predictions(spark, d, config: BoostingConfig = BoostingConfig()):
 
 def newton_first_splits(spark, d):
     """What the best first split by each model input gains on the train split."""
-    dataset = _rounded(_dataset(spark, d, "non_delivery"), 6, "customer_latitude", "customer_longitude")
-    rows = _split(spark, d, OPTIMIZATION).where(F.col("split") == s.TRAIN).select("order_id")
+    orders = materialize(a.orders(spark, d))
+    dataset = _rounded(
+        _dataset(spark, d, "non_delivery", orders), 6, "customer_latitude", "customer_longitude"
+    )
+    rows = _split(spark, d, OPTIMIZATION, orders)
+    rows = rows.where(F.col("split") == s.TRAIN).select("order_id")
     train = targets.model_inputs(dataset, keep=("order_id", "target")).join(rows, "order_id")
     return _rounded(first_splits(train), 5, "gain")
 

@@ -35,8 +35,9 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
-from parcelflow.operators.prefix import global_rank, running_totals
+from parcelflow.operators.prefix import global_rank
 from parcelflow.plans.metrics import predicted_class
 from parcelflow.schemas import CATEGORICAL_INPUTS, NUMERIC_INPUTS
 from parcelflow.session import checkpoint_folder, materialize
@@ -52,6 +53,11 @@ PLACES = 40
 REFRESH = 10
 #: A split has to gain more than rounding.
 LEAST_GAIN = 1e-6
+#: Marks of a column between which its values are counted, and rows they are taken from.
+MARKS = 4096
+MARK_ROWS = 200_000
+#: Categories of a column that are sent to every task.
+FEW_CATEGORIES = 200_000
 
 
 @dataclass(frozen=True)
@@ -390,29 +396,144 @@ def _grown(blocks: DataFrame, layout: Layout, done, scale: float, config: Newton
 # --- cut points and categories ---------------------------------------------------
 
 
-def cut_points(rows: DataFrame, columns: Sequence[str], bins: int) -> dict[str, list[float]]:
+def cut_points(
+    rows: DataFrame, columns: Sequence[str], bins: int, n: int | None = None
+) -> dict[str, list[float]]:
     """Where each column is cut: all values but the least where there are no more than ``bins``,
-    else the first value of every ``bins``-th part of the rows. Null and NaN don't count."""
+    else the first value of every ``bins``-th part of the rows. Null and NaN don't count.
+
+    Every row is counted at or between marks, values of a sample of the ``n`` rows. Only values
+    between two marks where a part may begin are then counted one by one, so the cut points are
+    exact whatever the sample holds.
+    """
     if not columns:
         return {}
-    pairs = [F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns]
-    values = rows.select(F.inline(F.array(*pairs))).where("value IS NOT NULL AND NOT isnan(value)")
+    rows = rows.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    marks = _marks(rows, columns, rows.count() if n is None else n)
+    counted = rows.mapInArrow(_slot_counts(columns, marks), "name int, slot int, n long")
+    sizes = [np.zeros(2 * len(m) + 1, np.int64) for m in marks]
+    for r in counted.groupBy("name", "slot").agg(F.sum("n").alias("n")).collect():
+        sizes[r["name"]][r["slot"]] = r["n"]
+    open_slots, unsure, looked = [], [], []
+    for name, own in enumerate(sizes):
+        before, total = np.cumsum(own) - own, int(own.sum())
+        unsure.append(np.count_nonzero(own[1::2]) <= bins)
+        is_open, part = np.zeros(len(own), bool), -1
+        for slot in np.flatnonzero(own).tolist():
+            last = (int(before[slot]) + int(own[slot]) - 1) * bins // total
+            if slot % 2 == 0 and (unsure[name] or last > part):
+                is_open[slot] = True
+                looked.append((name, slot, int(before[slot]), total, bool(unsure[name])))
+            part = int(before[slot]) * bins // total
+        open_slots.append(is_open)
+    # Values at which a part begins, with the rows before them.
+    starts: list[list[tuple[float, int]]] = []
+    for own, at in zip(sizes, marks):
+        before = np.cumsum(own) - own
+        starts.append([(float(v), int(before[2 * i + 1])) for i, v in enumerate(at) if own[2 * i + 1]])
+    if looked:
+        for r in _looked_into(rows, columns, marks, open_slots, looked, bins).collect():
+            starts[r["name"]].append((r["value"], r["n_before"]))
+    found: dict[str, list[float]] = {}
+    for name, column in enumerate(columns):
+        places, total = sorted(starts[name]), int(sizes[name].sum())
+        if not (unsure[name] and len(places) <= bins):
+            places = [(v, n_before * bins // total) for v, n_before in places]
+            places = [x for before, x in zip([(0.0, -1), *places], places) if x[1] > before[1]]
+        found[column] = [v for v, _ in places][1:]
+    return found
+
+
+def _marks(rows: DataFrame, columns: Sequence[str], n: int) -> list[np.ndarray]:
+    """Values of a sample, evenly spaced by rank, of each column."""
+    sample = rows.sample(min(1.0, MARK_ROWS / max(n, 1)), seed=0)
+    pairs = [F.struct(F.lit(i).alias("name"), F.col(c).alias("value")) for i, c in enumerate(columns)]
+    values = sample.select(F.inline(F.array(*pairs))).where("value IS NOT NULL AND NOT isnan(value)")
+    # A buffer holds a column of the sample.
+    held = values.groupBy("name").agg(
+        F.sort_array(F.collect_list(F.col("value") + F.lit(0.0))).alias("held")
+    )
+    spaced = F.transform(
+        F.sequence(F.lit(0), F.lit(MARKS)),
+        lambda i: F.get("held", ((F.size("held") - 1) * (i / F.lit(MARKS))).cast("int")),
+    )
+    marks = [np.array([])] * len(columns)
+    for r in held.select("name", F.array_distinct(spaced).alias("marks")).collect():
+        marks[r["name"]] = np.array(r["marks"])
+    return marks
+
+
+def _slots(values: pa.Array, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of a column, and for each one twice the number of marks below it, one more for a
+    number that is a mark."""
+    values = values.to_numpy(zero_copy_only=False).astype(float)
     # -0.0 and 0.0 are one value.
-    counts = values.groupBy("name", (F.col("value") + F.lit(0.0)).alias("value")).agg(
-        F.count("*").alias("n")
+    values = values[~np.isnan(values)] + 0.0
+    below = np.searchsorted(marks, values, "left")
+    return values, 2 * below + (np.append(marks, np.nan)[below] == values)
+
+
+def _slot_counts(columns: Sequence[str], marks: list[np.ndarray]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = [np.zeros(2 * len(m) + 1, np.int64) for m in marks]
+        for batch in batches:
+            for column, own, total in zip(columns, marks, totals):
+                total += np.bincount(_slots(batch.column(column), own)[1], minlength=len(total))
+        for name, total in enumerate(totals):
+            slots = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(slots), name, np.int32)), pa.array(slots.astype(np.int32)),
+                 pa.array(total[slots])],
+                names=["name", "slot", "n"],
+            )
+
+    return run
+
+
+def _open_values(
+    columns: Sequence[str], marks: list[np.ndarray], open_slots: list[np.ndarray], used: list[int]
+):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in used:
+                values, slots = _slots(batch.column(columns[name]), marks[name])
+                wanted = open_slots[name][slots]
+                values, slots = values[wanted], slots[wanted]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(slots), name, np.int32)), pa.array(slots.astype(np.int32)),
+                     pa.array(values)],
+                    names=["name", "slot", "value"],
+                )
+
+    return run
+
+
+def _looked_into(rows, columns, marks, open_slots, looked, bins: int) -> DataFrame:
+    """``name, value, n_before``: where a part begins inside a slot, or the first ``bins`` and one
+    values of slots of columns that may have no more."""
+    used = sorted({name for name, *_ in looked})
+    values = rows.select(*[columns[name] for name in used]).mapInArrow(
+        _open_values(columns, marks, open_slots, used), "name int, slot int, value double"
+    )
+    counts = values.groupBy("name", "slot", "value").agg(F.count("*").alias("n"))
+    slots = rows.sparkSession.createDataFrame(
+        looked, "name int, slot int, before long, total long, unsure boolean"
+    )
+    # The rows between two marks: about one in ``MARKS``.
+    here = W.partitionBy("name", "slot").orderBy("value")
+    placed = (
+        counts.join(F.broadcast(slots), ["name", "slot"])
+        .withColumn("n_before", F.col("before") + F.sum("n").over(here) - F.col("n"))
+        .withColumn("part", F.expr(f"n_before * {bins} div total"))
+        .select(
+            "name", "value", "n_before", "unsure", "part",
+            F.lag("part").over(here).alias("last_part"), F.row_number().over(here).alias("place"),
+        )
+    )
+    begins = F.col("last_part").isNull() | (F.col("part") > F.col("last_part"))
+    return placed.where(begins | (F.col("unsure") & (F.col("place") <= bins + 1))).select(
+        "name", "value", "n_before"
     )
-    totals = counts.groupBy("name").agg(F.sum("n").alias("total"), F.count("*").alias("different"))
-    placed = running_totals(counts, ["value"], ["n"], ["name"]).join(totals, "name")
-    part = F.expr(f"n_before * {bins} div total")
-    few = F.col("different") <= bins
-    # One row for each part, or for each of at most ``bins`` values.
-    starts = placed.groupBy(
-        "name", F.when(few, F.col("value")).alias("own"), F.when(~few, part).alias("part")
-    ).agg(F.min("value").alias("value"))
-    found: dict[str, list[float]] = {c: [] for c in columns}
-    for row in starts.collect():
-        found[row["name"]].append(row["value"])
-    return {c: sorted(v)[1:] for c, v in found.items()}
 
 
 def category_codes(rows: DataFrame, column: str) -> DataFrame:
@@ -423,9 +544,10 @@ def category_codes(rows: DataFrame, column: str) -> DataFrame:
     )
 
 
-def _coded(rows: DataFrame, codes: dict[str, DataFrame]) -> DataFrame:
-    for column, table in codes.items():
-        rows = rows.join(table, column, "left")
+def _coded(rows: DataFrame, codes: dict[str, DataFrame], sizes: Sequence[int]) -> DataFrame:
+    for (column, table), size in zip(codes.items(), sizes):
+        # A shuffle by a column of few categories would send the rows of each to one task.
+        rows = rows.join(F.broadcast(table) if size <= FEW_CATEGORIES else table, column, "left")
     return rows
 
 
@@ -446,7 +568,7 @@ def _prepared(train: DataFrame, config: NewtonConfig, numbers, categories):
         share = positives * config.ratio / (positives * config.ratio + n - positives)
         share = min(max(share, 1e-7), 1 - 1e-7)
     base = math.log(share / (1 - share))
-    cuts = cut_points(rows, numbers, config.max_bins)
+    cuts = cut_points(rows, numbers, config.max_bins, n)
     codes = {c: category_codes(rows, c) for c in categories}
     layout = Layout(
         tuple(numbers),
@@ -457,7 +579,7 @@ def _prepared(train: DataFrame, config: NewtonConfig, numbers, categories):
     # Whole numbers must hold the sum over all rows.
     largest = math.ceil(n * max(config.ratio, 1.0))
     scale = float(2 ** min(PLACES, 62 - largest.bit_length()))
-    blocks = _stored(_coded(rows, codes).mapInArrow(_to_blocks(layout, base), _BLOCKS), spark)
+    blocks = _stored(_coded(rows, codes, layout.sizes).mapInArrow(_to_blocks(layout, base), _BLOCKS), spark)
     return layout, base, codes, blocks, scale
 
 
@@ -511,7 +633,7 @@ class NewtonModel:
         inputs = [F.col(c).cast("double").alias(c) for c in self.layout.numbers]
         texts = [F.col(c).cast("string").alias(c) for c in self.layout.categories]
         kept = F.struct(*rows.columns).alias("_row")
-        return _coded(rows.select(kept, *inputs, *texts), self.codes).select(
+        return _coded(rows.select(kept, *inputs, *texts), self.codes, self.layout.sizes).select(
             "_row", *self.layout.numbers, *[f"{c}_code" for c in self.layout.categories]
         )
 

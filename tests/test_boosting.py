@@ -216,6 +216,41 @@ def test_one_class_and_no_rows(spark, label):
         NewtonModel.fit(df.limit(0), NewtonConfig(), NUMBERS, CATEGORIES)
 
 
+def plain_cuts(values, bins):
+    values = sorted(v + 0.0 for v in values if v is not None and not math.isnan(v))
+    different = sorted(set(values))
+    if len(different) <= bins:
+        return different[1:]
+    first = {}
+    for i, v in enumerate(values):
+        first.setdefault(v, i)
+    parts = {}
+    for v in different:
+        parts.setdefault(first[v] * bins // len(values), v)
+    return sorted(parts.values())[1:]
+
+
+@pytest.mark.parametrize("marks, sampled", [(4, 30), (64, 400), (4096, 200_000)])
+def test_cut_points_do_not_depend_on_the_marks(spark, monkeypatch, marks, sampled):
+    monkeypatch.setattr(boosting, "MARKS", marks)
+    monkeypatch.setattr(boosting, "MARK_ROWS", sampled)
+    chance = random.Random(4)
+    some = lambda v: chance.choice([v, v, v, None, float("nan")])
+    data = [
+        (
+            some(chance.gauss(0, 1)), some(chance.choice([0.0, -0.0, 1.0, float("inf"), -float("inf")])),
+            some(0.0 if chance.random() < 0.99 else chance.random()),
+            0.0 if i else 5.0, some(float(chance.randint(0, 11))), 7.0 if i == 5 else None,
+        )
+        for i in range(3000)
+    ]
+    names = ("normal", "odd", "tail", "rare", "near", "once")
+    df = spark.createDataFrame(data, ", ".join(f"{n} double" for n in names)).repartition(4)
+    for bins in (1, 10, 12, 256):
+        found = boosting.cut_points(df, names, bins)
+        assert found == {n: plain_cuts([r[i] for r in data], bins) for i, n in enumerate(names)}
+
+
 def test_cut_points(spark):
     data = [(float(i % 1000), float(i % 3), None) for i in range(5000)]
     df = spark.createDataFrame(data, "many double, few double, none double")
